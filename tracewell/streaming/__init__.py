@@ -1,0 +1 @@
+"""Deliberately empty: the engine covers scheduled batch work and has no stream operators."""
