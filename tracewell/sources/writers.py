@@ -29,11 +29,14 @@ def write_mart(df: DataFrame, path: str, date_partitions: bool = False) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; a list of flags is written as flag|flag."""
-    columns = [
-        F.array_join(name, "|").alias(name) if kind.startswith("array") else F.col(name) for name, kind in df.dtypes
-    ]
-    df.select(columns).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; lists of flags become flag|flag, times keep their microseconds."""
+
+    def text(name: str, kind: str):
+        if kind.startswith("array"):
+            return F.array_join(name, "|")
+        return F.col(name).cast("string") if kind.startswith("timestamp") else F.col(name)
+
+    df.select([text(name, kind).alias(name) for name, kind in df.dtypes]).write.mode("overwrite").option("header", True).csv(path)
 
 
 def export_raw_csv(tables: Tables, folder: str) -> None:
