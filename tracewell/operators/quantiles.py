@@ -1,8 +1,9 @@
 """Exact quantiles without sorting the column in one place.
 
-Values are counted, and the counts added up along three levels of slices: whole units,
-millionths of a unit, values. Each level is accumulated inside the slice above it, so the
-ordered groups are bounded by the number of slices and not by the number of rows.
+Values are counted, and the counts added up along nested slices: millions, units,
+millionths, values. Each level is accumulated inside the slice above it, so an ordered
+group holds at most a million slices (ten million at the top for 15-digit money), however
+many rows there are.
 """
 
 from pyspark.sql import DataFrame
@@ -16,27 +17,29 @@ SUMMARY = (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))
 def exact_quantiles(df: DataFrame, column: str, points: tuple[tuple[str, float], ...]) -> DataFrame:
     """Rows (name, value) with linear interpolation between neighbouring ranks."""
     value = F.col(column).cast("double")
-    by_value = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.floor(value).alias("_unit"), F.floor(value * 1_000_000).alias("_part"), value.alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    by_part = by_value.groupBy("_unit", "_part").agg(F.sum("_rows").alias("_rows"))
-    by_unit = by_part.groupBy("_unit").agg(F.sum("_rows").alias("_rows"))
-
-    def rows_before(*within: str, order: str):
-        earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    slices = {
+        "_million": F.floor(value / 1_000_000),
+        "_unit": F.floor(value),
+        "_millionth": F.floor(value * 1_000_000),
+        "_value": value,
+    }
+    levels = list(slices)
+    known = df.filter(F.col(column).isNotNull()).select(*[c.alias(name) for name, c in slices.items()])
+    counts = known.groupBy(*levels).agg(F.count(F.lit(1)).alias("_rows"))
 
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    units = by_unit.select(
-        "_unit", rows_before(order="_unit").alias("_before_unit"), F.sum("_rows").over(everything).alias("_n")
-    )
-    parts = by_part.select("_unit", "_part", rows_before("_unit", order="_part").alias("_before_part"))
-    values = by_value.withColumn("_before_value", rows_before("_unit", "_part", order="_value"))
-    ranked = values.join(parts.join(units, "_unit"), ["_unit", "_part"])
+    def ranked(depth: int, counts: DataFrame) -> DataFrame:
+        """Slices of one level with the number of rows in all slices before them."""
+        outer = levels[:depth]
+        order = Window.partitionBy(*outer).orderBy(levels[depth])
+        before = F.coalesce(F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        if not outer:
+            whole = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            return counts.withColumns({"_start": before, "_n": F.sum("_rows").over(whole)})
+        above = ranked(depth - 1, counts.groupBy(*outer).agg(F.sum("_rows").alias("_rows")))
+        above = above.select(*outer, F.col("_start").alias("_above"), "_n")
+        inner = counts.withColumn("_before", before).join(above, outer)
+        return inner.withColumn("_start", F.col("_above") + F.col("_before")).drop("_above", "_before")
 
-    start = F.col("_before_unit") + F.col("_before_part") + F.col("_before_value")
     place = {name: (F.col("_n") - 1) * F.lit(point) for name, point in points}
     ends = [
         F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank.alias("rank"), (at - F.floor(at)).alias("weight"))
@@ -44,7 +47,7 @@ def exact_quantiles(df: DataFrame, column: str, points: tuple[tuple[str, float],
         for side, rank in (("low", F.floor(at)), ("high", F.ceil(at)))
     ]
     holds = lambda end: (end["rank"] >= F.col("_start")) & (end["rank"] < F.col("_start") + F.col("_rows"))
-    found = ranked.withColumn("_start", start).select("_value", F.inline(F.filter(F.array(*ends), holds)))
+    found = ranked(len(levels) - 1, counts).select("_value", F.inline(F.filter(F.array(*ends), holds)))
     low = F.max(F.when(F.col("side") == "low", F.col("_value")))
     high = F.max(F.when(F.col("side") == "high", F.col("_value")))
     return found.groupBy("name").agg((low + (high - low) * F.max("weight")).alias("value"))

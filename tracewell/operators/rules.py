@@ -104,10 +104,13 @@ def mule_network(df: DataFrame, scope: Scope, out: str = MULE_NETWORK) -> DataFr
 
 
 def apply_rules(scope: Scope) -> Scope:
-    """Set rule_flags from scratch; running it again gives the same flags."""
+    """Set rule_flags from scratch; running it again gives the same flags.
+
+    One shuffle by user serves R2 and the join of R5, one by beneficiary serves R6 and the
+    beneficiary join of R1 and R4."""
     params = scope.params
-    df = velocity(scope.with_beneficiaries(scope.transactions), scope)
-    df = mule_network(impossible_travel(df, scope), scope)
+    df = impossible_travel(velocity(scope.transactions, scope), scope)
+    df = scope.with_beneficiaries(mule_network(df, scope))
     df = df.withColumns(
         {STRUCTURING: structuring(params), CROSS_BORDER: cross_border(params), EVASION: evasion(params)}
     )

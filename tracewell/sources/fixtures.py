@@ -123,8 +123,8 @@ def load_portable(spark: SparkSession, sf_dir: str, hot_key_rows: int = 1_000_00
         row_id="transaction_id",
         hot=hot,
     )
-    homes = tables.users.select("user_id", F.col("phone").alias("phone_number"), "home_latitude", "home_longitude")
-    return located.join(homes, "user_id", "left").select(
+    homes = {"phone": "phone_number", "home_latitude": "home_latitude", "home_longitude": "home_longitude"}
+    return hot.join_dimension(located, tables.users, homes, "_known_user", "transaction_id").select(
         "transaction_id",
         "user_id",
         F.when(F.col("transaction_id") % 97 != 0, F.col("beneficiary_id")).alias("beneficiary_id"),
