@@ -17,7 +17,7 @@ def read_csv_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame
 
 def read_csv_by_header(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     """CSV with a header in any order, case and padding; ValueError when a column is missing."""
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
     named = raw.toDF(*[c.strip().lower() for c in raw.columns])
     for name in required:
         if name not in named.columns:

@@ -29,14 +29,22 @@ def write_mart(df: DataFrame, path: str, date_partitions: bool = False) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; lists of flags become flag|flag, times keep their microseconds."""
+    """CSV with a header. Text keeps its blanks, times their microseconds; quotes are doubled;
+    lists of flags become flag|flag."""
 
     def text(name: str, kind: str):
         if kind.startswith("array"):
             return F.array_join(name, "|")
         return F.col(name).cast("string") if kind.startswith("timestamp") else F.col(name)
 
-    df.select([text(name, kind).alias(name) for name, kind in df.dtypes]).write.mode("overwrite").option("header", True).csv(path)
+    df.select([text(name, kind).alias(name) for name, kind in df.dtypes]).write.mode("overwrite").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def export_raw_csv(tables: Tables, folder: str) -> None:
