@@ -23,7 +23,7 @@ def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return None if math.isnan(value) else repr(value)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value

@@ -74,6 +74,8 @@ def test_views(spark, done):
     )
     assert got.first()[0] == 28
     assert spark.sql("select * from vw_dashboard_fraud_summary limit 5").count() == 5
+    firsts = spark.sql("select count_if(prev_login_timestamp is null), count(distinct user_id) from user_login_history")
+    assert firsts.first()[0] == firsts.first()[1]
 
 
 def test_structuring_implies_evasion_without_repair(done):

@@ -4,7 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import elapsed_days, percentage
+from tracewell.operators.features import login_history
 from tracewell.operators.rules import EVASION, MULE_NETWORK, VELOCITY
+from tracewell.operators.skew import HotKeys
 from tracewell.params import Params
 from tracewell.sources.tables import Tables
 
@@ -43,8 +45,10 @@ def rule_breakdown(tables: Tables) -> DataFrame:
     return fired.join(banks, "beneficiary_id", "left").drop("beneficiary_id")
 
 
-def register_views(tables: Tables) -> None:
-    """The marts under the names a dashboard imports."""
+def register_views(tables: Tables, params: Params = Params()) -> None:
+    """The login history and the marts under the names that SQL users and dashboards import."""
+    hot_users = HotKeys.find({"user_id": [tables.logins]}, params.hot_key_rows)["user_id"]
+    login_history(tables.logins, hot_users).drop("auth_id").createOrReplaceTempView("user_login_history")
     fraud_summary(tables).createOrReplaceTempView("vw_dashboard_fraud_summary")
     rule_breakdown(tables).createOrReplaceTempView("vw_dashboard_rule_breakdown")
 

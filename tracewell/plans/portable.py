@@ -30,7 +30,7 @@ def clean(df: DataFrame, order: str = "transaction_id") -> DataFrame:
 
 def features(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Distance from home (NULL when unknown), night hours, weekend."""
-    ts = F.col("timestamp")
+    ts = F.col("timestamp").cast("timestamp_ntz")
     km = haversine_km(
         F.col("home_latitude"),
         F.col("home_longitude"),
@@ -39,7 +39,7 @@ def features(df: DataFrame, params: Params = Params()) -> DataFrame:
         params.earth_radius_km,
     )
     night = off_hours(ts, params.off_hours_start, params.portable_off_hours_end)
-    return df.withColumns({"distance_from_home_km": km, "is_off_hours": night, "is_weekend": weekend(ts)})
+    return df.withColumns({"timestamp": ts, "distance_from_home_km": km, "is_off_hours": night, "is_weekend": weekend(ts)})
 
 
 def flag_evasion(df: DataFrame, params: Params = Params()) -> DataFrame:

@@ -46,7 +46,8 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
         elif name in ID_COLUMNS and isinstance(present[name].dataType, T.IntegralType):
             columns.append(f"`{name}`")
         elif isinstance(field.dataType, T.ArrayType) and isinstance(present[name].dataType, T.StringType):
-            columns.append(f"filter(split(`{name}`, '[|]'), flag -> flag <> '') as `{name}`")
+            flags = f"filter(split(`{name}`, '[|]'), flag -> flag <> '')"
+            columns.append(f"coalesce({flags}, array()) as `{name}`")
         else:
             columns.append(f"cast(`{name}` as {kind}) as `{name}`")
     return df.selectExpr(columns)
