@@ -247,13 +247,18 @@ def test_missing_features_get_defaults_and_null_age_stays_unknown(spark):
     assert filled["is_off_hours"] is False and filled["is_beneficiary_new"] is None
 
 
-def flags(spark, rows, login_rows=(), limit=10**9, tables_=None):
-    done = plan(tables_ or tables(spark, rows, login_rows), Params(hot_key_rows=limit))
-    return {r[0]: r[1] for r in done.transactions.select("transaction_id", "rule_flags").collect()}
+def flags(spark, rows):
+    """After features, cleaning and rules."""
+    return by_id(plan(tables(spark, rows)).transactions, "rule_flags")
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_band_rules(spark, limit):
+def rule_flags(spark, rows, login_rows=(), limit=10**9):
+    """After the rules alone."""
+    scope = Scope.of(tables(spark, rows, login_rows), Params(hot_key_rows=limit))
+    return by_id(rules.apply_rules(scope).transactions, "rule_flags")
+
+
+def test_band_rules(spark):
     rows = [
         ("low", "u1", "b2", "8999999.99", T0),
         ("from", "u1", "b2", 9_000_000, T0 + DAY),
@@ -265,7 +270,7 @@ def test_band_rules(spark, limit):
         ("risky_exact", "u1", "b2", 9_500_000, T0 + DAY + HOUR),  # exactly 30 days after creation
     ]
     both = ["biometric_structuring_rule", "biometric_evasion_rule"]
-    assert flags(spark, rows, limit=limit) == {
+    assert flags(spark, rows) == {
         "low": [],
         "from": ["biometric_structuring_rule"],
         "to": both,
@@ -282,7 +287,7 @@ def test_velocity_flags_from_the_fourth_on(spark, limit):
     rows = [(f"t{i}", "u1", "b1", 1 + i, T0 + i * timedelta(seconds=100)) for i in range(4)]
     rows += [(f"p{i}", "u2", "b1", 1 + i, T0) for i in range(4)]  # same instant: all see each other
     rows += [(f"s{i}", "u3", "b1", 1 + i, T0 + i * timedelta(seconds=101)) for i in range(4)]
-    got = flags(spark, rows, limit=limit)
+    got = rule_flags(spark, rows, limit=limit)
     assert {k for k, v in got.items() if v == ["velocity_rule"]} == {"t3", "p0", "p1", "p2", "p3"}
 
 
@@ -313,7 +318,7 @@ def test_impossible_travel(spark, limit):
         ("slow", "u2", "b1", 20_000_000, T0 + DAY),
         ("near", "u3", "b1", 20_000_000, T0 + DAY),
     ]
-    got = flags(spark, rows, login_rows, limit)
+    got = rule_flags(spark, rows, login_rows, limit)
     assert {k for k, v in got.items() if "impossible_travel_rule" in v} == {"at", "much_later"}
 
 
@@ -325,7 +330,7 @@ def test_mule_network(spark, limit):
     rows += [("n3", "u3", "b1", 1, T0 + 2 * DAY + MINUTE), ("n3b", "u3", "b1", 2, T0 + 2 * DAY + MINUTE)]
     rows += [("n4", "u4", "b1", 1, T0 + 2 * DAY + HOUR)]  # exactly one hour after the first two
     rows += [("n5", "u4", "b1", 3, T0 + 2 * DAY + HOUR + timedelta(microseconds=1))]
-    got = flags(spark, rows, limit=limit)
+    got = rule_flags(spark, rows, limit=limit)
     assert {k for k, v in got.items() if "circular_17_mule_network_rule" in v} == {"n4"}
 
 

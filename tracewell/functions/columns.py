@@ -33,12 +33,8 @@ def weekend(ts: Column) -> Column:
 
 
 def local_phone(phone: Column) -> Column:
-    """+84 and 84 country prefixes become the domestic 0; NULL stays NULL."""
-    return (
-        F.when(phone.like("+84%"), F.concat(F.lit("0"), F.substring(phone, 4, 255)))
-        .when(phone.like("84%"), F.concat(F.lit("0"), F.substring(phone, 3, 255)))
-        .otherwise(phone)
-    )
+    """A leading +84 or 84 becomes the domestic 0; NULL stays NULL."""
+    return F.regexp_replace(phone, r"^(\+84|84)", "0")
 
 
 def central_angle_cosine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

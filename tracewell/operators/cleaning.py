@@ -25,11 +25,11 @@ def clean_users(users: DataFrame) -> DataFrame:
     return users.withColumns(
         {
             "full_name": F.trim("full_name"),
-            "email": F.lower(F.trim("email")),
+            "email": F.expr("lower(trim(email))"),
             "phone": local_phone(F.trim("phone")),
             "wallet_balance": F.abs("wallet_balance"),
-            "home_country": F.coalesce("home_country", F.lit("Vietnam")),
-            "kyc_status": F.coalesce("kyc_status", F.lit("pending")),
+            "home_country": F.expr("coalesce(home_country, 'Vietnam')"),
+            "kyc_status": F.expr("coalesce(kyc_status, 'pending')"),
         }
     )
 
@@ -66,8 +66,9 @@ def clamp_score(df: DataFrame) -> DataFrame:
 
 def fill_missing(df: DataFrame) -> DataFrame:
     """CL10: features that could not be computed get 0 or FALSE."""
-    zeros = {c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in FILL_ZERO}
-    return df.withColumns(zeros | {c: F.coalesce(F.col(c), F.lit(False)) for c in FILL_FALSE})
+    kinds = dict(df.dtypes)
+    zeros = {c: F.expr(f"coalesce({c}, cast(0 as {kinds[c]}))") for c in FILL_ZERO}
+    return df.withColumns(zeros | {c: F.expr(f"coalesce({c}, false)") for c in FILL_FALSE})
 
 
 def repair_time(df: DataFrame, scope: Scope) -> DataFrame:

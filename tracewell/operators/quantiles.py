@@ -24,7 +24,11 @@ def exact_quantiles(df: DataFrame, column: str, points: tuple[tuple[str, float],
         "_value": value,
     }
     levels = list(slices)
-    known = df.filter(F.col(column).isNotNull()).select(*[c.alias(name) for name, c in slices.items()])
+    known = df.select(*[c.alias(name) for name, c in slices.items()])
+    # Stated for every slice, so that the joins below have no filter to add and all levels
+    # read the counts from the same shuffle.
+    for name in levels:
+        known = known.filter(F.col(name).isNotNull())
     counts = known.groupBy(*levels).agg(F.count(F.lit(1)).alias("_rows"))
 
     def ranked(depth: int, counts: DataFrame) -> DataFrame:

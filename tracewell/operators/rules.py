@@ -114,8 +114,10 @@ def apply_rules(scope: Scope) -> Scope:
     df = df.withColumns(
         {STRUCTURING: structuring(params), CROSS_BORDER: cross_border(params), EVASION: evasion(params)}
     )
-    flags = F.array_compact(F.array(*[F.when(F.col(rule), F.lit(rule)) for rule in RULES]))
-    return scope.with_tables(transactions=df.withColumn("rule_flags", flags).drop(*RULES))
+    fired = ", ".join(f"if({rule}, '{rule}', null)" for rule in RULES)
+    return scope.with_tables(
+        transactions=df.withColumn("rule_flags", F.expr(f"array_compact(array({fired}))")).drop(*RULES)
+    )
 
 
 def trigger_counts(df: DataFrame) -> DataFrame:
