@@ -1,5 +1,7 @@
 """The whole batch on the derived tables: staged run, invariants, hot keys."""
 
+from glob import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +61,7 @@ def test_written_marts(spark, done):
     assert summary.count() == tables.transactions.count() == 503
     assert breakdown.count() == summary.agg(F.sum("triggered_rules_count")).first()[0] == 128
     assert summary.filter("is_flagged = 1").count() == 108
+    assert len(glob(f"{out}/marts/fraud_summary/txn_date=*/*.parquet")) == summary.select("txn_date").distinct().count()
     day = summary.agg(F.min("txn_date")).first()[0]
     pruned = summary.filter(F.col("txn_date") == F.lit(day))
     assert "PartitionFilters: [isnotnull(txn_date" in pruned._jdf.queryExecution().toString()

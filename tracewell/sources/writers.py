@@ -20,12 +20,15 @@ def append_rows(df: DataFrame, path: str, spec: TableSpec) -> None:
 
 
 def write_mart(df: DataFrame, path: str, date_partitions: bool = False) -> None:
-    """Mart for a dashboard, on request in one folder per day of the transfer."""
-    writer = df
-    if date_partitions:
-        writer = df.withColumn("txn_date", F.to_date("timestamp"))
-    out = writer.write.mode("overwrite")
-    (out.partitionBy("txn_date") if date_partitions else out).parquet(path)
+    """Mart for a dashboard, on request in one folder per day of the transfer.
+
+    Rows are brought together by day first, so that a day is a few files and not one per
+    task; days too large for one task are split."""
+    if not date_partitions:
+        write_table(df, path)
+        return
+    dated = df.withColumn("txn_date", F.to_date("timestamp")).hint("rebalance", "txn_date")
+    dated.write.mode("overwrite").partitionBy("txn_date").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
