@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 ROWS_AT_A_TIME = 256
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,6 +55,9 @@ def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
 def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str, rows_out: int = 4096) -> DataFrame:
     """df through `rows`, a generator from tuples to tuples that sees a whole partition as one stream."""
     target = T._parse_datatype_string(schema)
+    environment = df.sparkSession.sparkContext.environment
+    if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):  # workers import this package
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, environment.get("PYTHONPATH")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema

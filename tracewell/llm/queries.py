@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, packing, token_files
+from . import bpe_automaton, packing, pii, quality, rules, simhash, token_files, topk
 from .common import new_path
 
 
@@ -14,14 +14,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.every_twentieth(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.judged(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder)
@@ -29,8 +50,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_packing": op2_packing,
+    "op4_top_k": op4_top_k,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op7_quality": op7_quality,
+    "op8_simhash": op8_simhash,
+    "op9_rules": op9_rules,
     "op10_token_files": op10_token_files,
 }
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op4_top_k": topk.CHECK}
