@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, packing, pii, quality, rules, simhash, token_files, topk
+from . import bpe_automaton, language, packing, pii, quality, rules, simhash, token_files, topk
 from .common import new_path
 
 
@@ -30,6 +30,10 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_top_k": op4_top_k,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_rules": op9_rules,
