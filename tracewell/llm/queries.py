@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, language, packing, pii, quality, rules, simhash, token_files, topk
+from . import bpe_automaton, language, packing, pii, quality, rules, simhash, suffix_dedup, token_files, topk
 from .common import new_path
 
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.every_twentieth(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +60,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_top_k": op4_top_k,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_language": op6_language,
