@@ -177,7 +177,7 @@ class Words(dict):
         self.coder = coder
 
     def __missing__(self, word: str) -> tuple:
-        if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
+        if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha() and not NOT_PLAIN.search(word):
             (a, b, n), (c, d, m) = self[word[:-1]], self[word[-1]]
             known = a + " " + c, b + " " + d, n + m
         else:

@@ -101,8 +101,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, pool_rows: int
     unlabelled = pool.join(F.broadcast(known), "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int"))
     # At most fit_rows + pool_rows ids.
     wanted = F.broadcast(labelled.unionByName(unlabelled))
-    some = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted, "doc_id")
-    rows = measured(some).select("_row.doc_id", "_row.y", "_s.*").limit(2 * (fit_rows + pool_rows)).toPandas()
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c for c in ("text", "source", "lang") if c in docs.columns))
+    rows = measured(some.join(wanted, "doc_id")).select("_row.doc_id", "_row.y", "_s.*").limit(2 * (fit_rows + pool_rows)).toPandas()
     rows = rows.sort_values(["doc_id", *CONTENT]).reset_index(drop=True)
     given = rows["y"].notna().to_numpy()
     y = rows["y"].fillna(0).to_numpy(float)

@@ -49,14 +49,16 @@ def learn(rows: list[Row], bad: list[bool], names: list[str], thresholds: int =
 
     A rule grows by the condition with the largest information gain until it covers good rows no more, and
     is cut back to the beginning with the best balance of bad and good rows on the pruning part. It counts
-    only if at least `precision` of what it covers in either part is bad; the first that does not ends the
-    list. Rows are in any order that has nothing to do with their labels.
+    only if at least `precision` of what it covers in either part is bad; else the next one has to begin
+    otherwise. The list ends when no beginning is left. Rows are in any order that has nothing to do with their labels.
     """
+    if not rows:
+        return []
     masks = literal_masks(rows, names, thresholds)
     grow = sum(1 << i for i in range(len(rows)) if i % 3)
     prune = ((1 << len(rows)) - 1) ^ grow
     is_bad = sum(1 << i for i, b in enumerate(bad) if b)
-    left, rules = (1 << len(rows)) - 1, []
+    left, rules, failed = (1 << len(rows)) - 1, [], set()
 
     def counts(mask: int) -> tuple[int, int]:
         return (mask & is_bad).bit_count(), (mask & ~is_bad).bit_count()
@@ -70,6 +72,8 @@ def learn(rows: list[Row], bad: list[bool], names: list[str], thresholds: int =
                 break
             best, gain = None, 0.0
             for literal, mask in masks.items():
+                if not chosen and literal in failed:
+                    continue
                 p, n = counts(covered & mask & grow)
                 if p and (g := p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))) > gain:
                     best, gain = literal, g
@@ -89,9 +93,11 @@ def learn(rows: list[Row], bad: list[bool], names: list[str], thresholds: int =
         _, k, covered = max(options)
         (p, n), (q, m) = counts(covered & prune), counts(covered & grow)
         if not p or p < precision * (p + n) or q < precision * (q + m):
-            break
+            failed.add(chosen[0])
+            continue
         rules.append(Rule(tuple(chosen[:-k])))
         left &= ~covered
+        failed.clear()
     return rules
 
 

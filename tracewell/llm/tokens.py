@@ -56,7 +56,7 @@ class WordIds(dict):
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in self.tails and word[:-1].isalpha():
+        if len(word) > 1 and word[-1] in self.tails and word[:-1].isalpha() and not NOT_PLAIN.search(word):
             ids = self[word[:-1]] + self.tails[word[-1]]
         elif word.isalpha() and word.islower() and not NOT_PLAIN.search(word):  # its own normal form and one piece
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)

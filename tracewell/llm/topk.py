@@ -13,15 +13,15 @@ from .common import map_rows, new_path, nullable, stored
 
 #: Scores below this are exact in doubles; beyond it, whole numbers are multiplied as longs.
 EXACT = 1 << 53
-#: Components are kept within these bounds, so that a score of up to 2^13 dimensions is a long.
-LIMIT = float(1 << 24)
+#: Components are kept within these bounds, so that a score of up to MOST_DIMENSIONS is a long.
+LIMIT, MOST_DIMENSIONS = float(1 << 26), 1 << 10
 
 
 def quantized(vectors: DataFrame, scale: int = 64, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id and v, an array of longs floor(scale * x), x as a double.
 
     Vectors that are null or have null, infinite or NaN components take no part, nor do rows without an id.
-    Values beyond 2^24 count as 2^24, so that every score is a long.
+    Values beyond 2^26 count as 2^26, so that every score is a long.
     """
     scaled = f"transform({vector}, x -> cast(floor(greatest(least({scale} * cast(x as double), {LIMIT!r}D), -{LIMIT!r}D)) as bigint))"
     whole = f"{key} is not null and {vector} is not null and forall({vector}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
@@ -99,6 +99,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, dims_a_step: int
     spark = vectors.sparkSession
     vectors = stored(vectors, "vectors")
     dims, most = (x or 0 for x in vectors.agg(F.max(F.size("v")), F.max(F.expr("aggregate(v, 0L, (a, x) -> greatest(a, abs(x)))"))).first())
+    if dims > MOST_DIMENSIONS:
+        raise ValueError(f"vectors have more than {MOST_DIMENSIONS} dimensions")
     kind = float if dims * most**2 < EXACT else np.int64
     queries = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     rounds = -(-queries.count() // queries_a_round)
