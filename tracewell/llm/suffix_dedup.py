@@ -85,49 +85,56 @@ def joined(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def removed(docs: DataFrame, width: int = 200) -> DataFrame:
-    """docs' rows as `_row`, with spans: what is to be removed of the text, as an array of [start, end) in UTF-8 bytes, and `_text` if there is any.
+def removed(docs: DataFrame, width: int = 200, all_texts: bool = False) -> DataFrame:
+    """docs' rows, all columns but text as `_row`, with `spans`: what is to be removed of the text, as an array of [start, end) in UTF-8 bytes.
 
-    A null text counts as empty. Texts shorter than width, among them empty ones, have no spans. Rows that
-    repeat a text repeat each other, so all of it goes from each of them (if it has width bytes).
+    `_text` is the text (null counts as empty) of rows with spans, and of the others if all_texts. Texts
+    shorter than width, among them empty ones, have no spans. Rows that repeat a text repeat each other, so
+    all of it goes from each of them (if it has width bytes).
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     # 128 bits for a text; of two texts with one key the same would be removed.
-    named = docs.select(F.struct("*").alias("_row"), text.alias("_text")).withColumns({"k1": F.xxhash64("_text"), "k2": F.xxhash64(F.lit(1), "_text")})
+    named = docs.select(F.struct(*others, F.col("text").isNull().alias("_no_text")).alias("_row"), text.alias("_text"))
+    named = named.withColumns({"k1": F.xxhash64("_text"), "k2": F.xxhash64(F.lit(1), "_text")})
 
     def text_runs(rows: Iterator[tuple]) -> Iterator[tuple]:
         for k1, k2, text in rows:
-            for run in runs(text.encode(), width):
-                yield k1, k2, *run
+            for anchor, digest, first, last in runs(text.encode(), width):
+                yield k1, k2, anchor, digest, first * width + last - first
 
-    found = map_rows(named.filter(F.octet_length("_text") >= width).select("k1", "k2", "_text"), text_runs, "k1 long, k2 long, anchor long, bytes long, first int, last int", 65536)
-    found = stored(found.withColumn("tag", F.xxhash64("k1", "k2", "first")), "runs")
+    texts = named.filter(F.octet_length("_text") >= width).select("k1", "k2", "_text")
+    found = stored(map_rows(texts, text_runs, "k1 long, k2 long, anchor long, bytes long, at long", 65536), "runs")
+    # Most anchors occur once; of their runs only the anchor is shuffled a first time.
+    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    shared = stored(found.join(twice, "anchor", "left_semi"), "shared-runs")
 
     # Per different run: how often it occurs, and one of its occurrences. Per anchor: its different runs.
-    kinds = stored(found.groupBy("anchor", "bytes").agg(F.count("*").alias("n"), F.min("tag").alias("chosen")), "kinds")
-    anchors = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds"), F.sum("n").alias("all"), F.min("n").alias("rarest"))
-    anchors = anchors.filter("all > 1").select("anchor", F.expr("n_kinds > 1 and rarest = 1").alias("mixed"), (F.col("n_kinds") > MOST_RUNS).alias("large"))
-    shared = kinds.join(anchors, "anchor")
+    tag = F.xxhash64("k1", "k2", "at")
+    kinds = stored(shared.groupBy("anchor", "bytes").agg(F.count("*").alias("n"), F.min(tag).alias("chosen")), "kinds")
+    anchors = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds"), F.min("n").alias("rarest"))
+    anchors = anchors.select("anchor", F.expr("n_kinds > 1 and rarest = 1").alias("mixed"), (F.col("n_kinds") > MOST_RUNS).alias("large"))
     # sorts: the run's bytes are to be sorted; alone: its repetitions are not known yet.
-    marked = found.join(shared, ["anchor", "bytes"]).select(
-        "k1", "k2", F.struct("first", "last", "anchor", "bytes", (F.col("mixed") & (F.col("tag") == F.col("chosen"))).alias("sorts"), (F.col("n") == 1).alias("alone"), "large").alias("run"),
-    )
+    first = F.floor(F.col("at") / width).cast("int")
+    run = {"first": first, "last": (first + F.col("at") % width).cast("int"), "anchor": F.col("anchor"), "bytes": F.col("bytes"), "sorts": F.col("mixed") & (tag == F.col("chosen")), "alone": F.col("n") == 1, "large": F.col("large")}
+    marked = shared.join(kinds.join(anchors, "anchor"), ["anchor", "bytes"]).select("k1", "k2", F.struct(*(v.alias(k) for k, v in run.items())).alias("run"))
     lists = marked.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs"))
-    touched = named.join(lists, ["k1", "k2"], "left").select("_row", "k1", "k2", F.when(F.col("runs").isNotNull(), F.col("_text")).alias("_text"), "runs")
-    touched = stored(touched, "touched")
+    kept_text = F.col("_text") if all_texts else F.when(F.col("runs").isNotNull(), F.col("_text"))
+    touched = stored(named.join(lists, ["k1", "k2"], "left").select("_row", "k1", "k2", kept_text.alias("_text"), "runs"), "touched")
 
     texts = touched.filter("exists(runs, r -> r.sorts)").select("k1", "k2", "_text", F.expr("filter(runs, r -> r.sorts)").alias("runs"))
     details = sorted_buckets(texts, width).unionAll(large_buckets(texts, width))
     details = details.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("more"))
     whole = "transform(filter(runs, r -> not r.alone), r -> struct(r.first as first, r.last as last))"
-    known = touched.join(details, ["k1", "k2"], "left").withColumn("strings", F.expr(f"concat({whole}, coalesce(more, cast(array() as array<struct<first: int, last: int>>)))"))
+    none = "cast(array() as array<struct<first: int, last: int>>)"
+    known = touched.filter("runs is not null").join(details, ["k1", "k2"], "left").withColumn("strings", F.expr(f"concat({whole}, coalesce(more, {none}))"))
 
     @F.pandas_udf("array<array<int>>")
     def as_spans(strings):  # noqa: ANN001, ANN202
         return strings.map(lambda s: joined([(x["first"], x["last"] + width) for x in s]), na_action="ignore")
 
-    spans = F.coalesce(as_spans("strings"), F.array().cast("array<array<int>>"))
-    return known.select("_row", spans.alias("spans"), "_text")
+    untouched = touched.filter("runs is null").select("_row", F.array().cast("array<array<int>>").alias("spans"), "_text")
+    return known.select("_row", as_spans("strings").alias("spans"), "_text").unionAll(untouched)
 
 
 def chosen_runs(texts: DataFrame, large: bool) -> DataFrame:
@@ -205,17 +212,16 @@ def without_spans(text: str, spans: list[list[int]]) -> bytes:
 
 def digest(docs: DataFrame, width: int = 200) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is left of every document."""
-    sized = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"))
 
     @F.pandas_udf("string")
     def sha_left(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: hashlib.sha256(without_spans(t, s)).hexdigest())
+        return texts.combine(spans, lambda t, s: hashlib.sha256(without_spans(t, s)).hexdigest() if t is not None and len(s) else None)
 
-    found = removed(sized, width)
-    cut = F.size("spans") > 0
-    kept = found.filter(cut).withColumn("kept", sha_left("_text", "spans")).unionByName(found.filter(~cut).withColumn("kept", F.col("_row.sha")))
+    kept = removed(sized, width).withColumn("kept", F.coalesce(sha_left("_text", "spans"), F.col("_row.sha")))
     n_removed = F.expr("aggregate(spans, 0L, (a, s) -> a + s[1] - s[0])")
-    return kept.select(F.col("_row.doc_id").cast("long").alias("doc_id"), "_row.n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256"))
+    return kept.select("_row.doc_id", "_row.n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame, width: int = 200) -> DataFrame:
@@ -226,10 +232,11 @@ def deduplicated(docs: DataFrame, width: int = 200) -> DataFrame:
 
     @F.pandas_udf("string")
     def cut(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: without_spans(t, s).decode(errors="replace") if t is not None else None)
+        return texts.combine(spans, lambda t, s: without_spans(t, s).decode(errors="replace") if len(s) else t)
 
-    found = removed(docs, width).withColumn("_cut", F.when(F.size("spans") > 0, cut("_text", "spans")).otherwise(F.col("_row.text")))
-    values = {"text": F.col("_cut")}
+    left = F.when(F.col("_row._no_text"), F.lit(None)).otherwise(cut("_text", "spans"))
+    found = removed(docs, width, all_texts=True).withColumn("_left", left)
+    values = {"text": F.col("_left")}
     if "n_chars" in docs.columns:
-        values["n_chars"] = F.length("_cut").cast(docs.schema["n_chars"].dataType)
+        values["n_chars"] = F.length("_left").cast(docs.schema["n_chars"].dataType)
     return found.select(*(values.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns))
