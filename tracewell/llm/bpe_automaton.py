@@ -27,7 +27,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 
 from .common import doc_texts, map_rows
-from .tokens import NOT_PLAIN, WORDS_KEPT, byte_letters, split_at_spaces, vocabulary_path
+from .tokens import NOT_PLAIN, Remembered, byte_letters, split_at_spaces, vocabulary_path
 
 #: Unicode white space, as the vocabulary's patterns mean it.
 SPACES = "\t\n\v\f\r \x85\xa0  -     　"
@@ -127,16 +127,9 @@ class Coder:
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find_words, self.spaces = regex.compile(WORD).findall, regex.compile(f"[{SPACES}]+")
         self.letters = dict(enumerate(byte_letters()))
-        self.paths: dict[str, list[int]] = {}
+        self.paths = Paths(self)
         self.known = Words(self)
 
-    def path(self, piece: str) -> list[int]:
-        if (path := self.paths.get(piece)) is None:
-            symbols = list(piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters))
-            symbols[-1] += self.end
-            path = self.paths[piece] = self.automaton.encode(symbols)
-        return path
-
     def normal(self, text: str) -> str:
         """Canonical composition, then each letter's lower case by itself (a final sigma is like any other)."""
         text = unicodedata.normalize("NFC", text)
@@ -146,23 +139,22 @@ class Coder:
         """Decimal ids and labels, each joined by spaces, and their number."""
         ids: list[int] = []
         if word.isalpha() and not NOT_PLAIN.search(word):
-            ids += self.path(word.lower())
+            ids += self.paths[word.lower()]
         else:
             for k, part in enumerate(self.at_special.split(word) if self.at_special else [word]):
                 if k % 2:
                     ids.append(self.special[part])
                 else:
                     for piece in self.find_words(self.normal(part)):
-                        ids += self.path(piece)
+                        ids += self.paths[piece]
         return " ".join(map(str, ids)), " ".join(map(self.labels.__getitem__, ids)), len(ids)
 
     def encode(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, decimal ids joined by spaces, and what they decode to."""
         if not text:
             return 0, "", ""
-        if len(self.known) > WORDS_KEPT or len(self.paths) > WORDS_KEPT:
-            self.known.clear()
-            self.paths.clear()
+        self.known.age()
+        self.paths.age()
         words = split_at_spaces(text)
         found = list(map(self.known.__getitem__, self.spaces.split(text) if words is None else words))
         if not all(found):  # words without ids
@@ -170,20 +162,32 @@ class Coder:
         return sum([f[2] for f in found]), " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
 
 
-class Words(dict):
+class Paths(Remembered):
+    """The automaton's path for a piece of normal text."""
+
+    def __init__(self, coder: Coder):
+        super().__init__()
+        self.coder = coder
+
+    def compute(self, piece: str) -> list[int]:
+        symbols = list(piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.coder.letters))
+        symbols[-1] += self.coder.end
+        return self.coder.automaton.encode(symbols)
+
+
+class Words(Remembered):
     """What Coder.word says of a word, or () of one without ids; a full stop or comma behind letters is a word of its own."""
 
     def __init__(self, coder: Coder):
+        super().__init__()
         self.coder = coder
 
-    def __missing__(self, word: str) -> tuple:
+    def compute(self, word: str) -> tuple:
         if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha() and not NOT_PLAIN.search(word):
             (a, b, n), (c, d, m) = self[word[:-1]], self[word[-1]]
-            known = a + " " + c, b + " " + d, n + m
-        else:
-            known = self.coder.word(word)
-        self[word] = known = known if known[2] else ()
-        return known
+            return a + " " + c, b + " " + d, n + m
+        known = self.coder.word(word)
+        return known if known[2] else ()
 
 
 @lru_cache(1)

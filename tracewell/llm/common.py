@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -70,6 +71,8 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
                 out = []
         if out:
             yield to_batch(out, arrow)
+        del out
+        give_memory_back()
 
     return df.mapInArrow(run, schema)
 
@@ -80,5 +83,31 @@ def tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield from zip(*(c.to_pylist() for c in batch.slice(start, ROWS_AT_A_TIME).columns), strict=True)
 
 
+def row_udf(function: Callable, kind: str) -> Callable:
+    """A column function that applies `function` to the values of each row, a few rows at a time; null where it returns None."""
+    target = T._parse_datatype_string(kind)
+
+    @F.arrow_udf(kind)
+    def column(*arrays: pa.Array) -> pa.Array:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        arrow, parts = to_arrow_type(target), []
+        for start in range(0, len(arrays[0]), ROWS_AT_A_TIME):
+            values = zip(*(a.slice(start, ROWS_AT_A_TIME).to_pylist() for a in arrays), strict=True)
+            parts.append(pa.array([function(*v) for v in values], arrow))
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    return column
+
+
+def give_memory_back() -> None:
+    """Workers idle between tasks; what they have freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)

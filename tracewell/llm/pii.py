@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, map_rows
+from .common import doc_texts, map_rows, row_udf
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -286,11 +286,7 @@ def masked(docs: DataFrame) -> DataFrame:
             done = reach
         return "".join([*parts, text[done:]])
 
-    @F.pandas_udf("string")
-    def masked_text(texts):  # noqa: ANN001, ANN202
-        return texts.map(mask, na_action="ignore")
-
-    out = docs.withColumn("text", masked_text(F.col("text").cast("string")))
+    out = docs.withColumn("text", row_udf(mask, "string")(F.col("text").cast("string")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -19,15 +19,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
+from .common import map_rows, row_udf, stored
 from .suffix_sort import repeated
 
 #: Bytes of an anchor, and strings of a text that are looked at together.
 ANCHOR = 32
 STRINGS_AT_A_TIME = 1 << 20
 #: Bytes that are sorted together (a bucket is never parted), and the most runs of a bucket that is.
-SORTED_TOGETHER = 1 << 19
-MOST_RUNS = 4096
+SORTED_TOGETHER = 1 << 18
+MOST_RUNS = 1024
 
 _random = np.random.default_rng(20)
 _BYTE = _random.integers(0, 2**64, 256, dtype=np.uint64)
@@ -129,10 +129,7 @@ def removed(docs: DataFrame, width: int = 200, all_texts: bool = False) -> DataF
     none = "cast(array() as array<struct<first: int, last: int>>)"
     known = touched.filter("runs is not null").join(details, ["k1", "k2"], "left").withColumn("strings", F.expr(f"concat({whole}, coalesce(more, {none}))"))
 
-    @F.pandas_udf("array<array<int>>")
-    def as_spans(strings):  # noqa: ANN001, ANN202
-        return strings.map(lambda s: joined([(x["first"], x["last"] + width) for x in s]), na_action="ignore")
-
+    as_spans = row_udf(lambda strings: joined([(x["first"], x["last"] + width) for x in strings]), "array<array<int>>")
     untouched = touched.filter("runs is null").select("_row", F.array().cast("array<array<int>>").alias("spans"), "_text")
     return known.select("_row", as_spans("strings").alias("spans"), "_text").unionAll(untouched)
 
@@ -215,10 +212,7 @@ def digest(docs: DataFrame, width: int = 200) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"))
 
-    @F.pandas_udf("string")
-    def sha_left(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: hashlib.sha256(without_spans(t, s)).hexdigest() if t is not None and len(s) else None)
-
+    sha_left = row_udf(lambda text, spans: hashlib.sha256(without_spans(text, spans)).hexdigest() if text is not None and spans else None, "string")
     kept = removed(sized, width).withColumn("kept", F.coalesce(sha_left("_text", "spans"), F.col("_row.sha")))
     n_removed = F.expr("aggregate(spans, 0L, (a, s) -> a + s[1] - s[0])")
     return kept.select("_row.doc_id", "_row.n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256"))
@@ -230,10 +224,7 @@ def deduplicated(docs: DataFrame, width: int = 200) -> DataFrame:
     Where a cut falls inside a character, what is left of it becomes the replacement character.
     """
 
-    @F.pandas_udf("string")
-    def cut(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: without_spans(t, s).decode(errors="replace") if len(s) else t)
-
+    cut = row_udf(lambda text, spans: without_spans(text, spans).decode(errors="replace") if spans else text, "string")
     left = F.when(F.col("_row._no_text"), F.lit(None)).otherwise(cut("_text", "spans"))
     found = removed(docs, width, all_texts=True).withColumn("_left", left)
     values = {"text": F.col("_left")}

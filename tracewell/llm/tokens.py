@@ -12,8 +12,8 @@ import os
 import re
 from functools import lru_cache
 
-#: Words a worker remembers before it starts anew.
-WORDS_KEPT = 500_000
+#: Words of a generation; a worker remembers two.
+WORDS_KEPT = 150_000
 #: Texts with these are not lower-cased here: combining marks and letters whose case mapping depends on them.
 NOT_PLAIN = re.compile("[İ̀-\U0010ffff]")
 
@@ -38,12 +38,35 @@ def split_at_spaces(text: str) -> list[str] | None:
     return text.split()
 
 
-class WordIds(dict):
+class Remembered(dict):
+    """What compute() said of a key, for keys of this generation and the one before: frequent ones stay, memory is bounded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def __missing__(self, key: str):  # noqa: ANN204
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+    def age(self) -> None:
+        """Begin a generation if this one is full."""
+        if len(self) > WORDS_KEPT:
+            self.older = self.copy()
+            self.clear()
+
+
+class WordIds(Remembered):
     """From a word to the bytes of its ids as unsigned little-endian 32-bit integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -55,16 +78,13 @@ class WordIds(dict):
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def compute(self, word: str) -> bytes:
         if len(word) > 1 and word[-1] in self.tails and word[:-1].isalpha() and not NOT_PLAIN.search(word):
-            ids = self[word[:-1]] + self.tails[word[-1]]
-        elif word.isalpha() and word.islower() and not NOT_PLAIN.search(word):  # its own normal form and one piece
+            return self[word[:-1]] + self.tails[word[-1]]
+        if word.isalpha() and word.islower() and not NOT_PLAIN.search(word):  # its own normal form and one piece
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            ids = array.array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        else:
-            ids = self.whole(word)
-        self[word] = ids
-        return ids
+            return array.array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return self.whole(word)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -72,8 +92,7 @@ class WordIds(dict):
         words = None if "<|" in text else split_at_spaces(text if NOT_PLAIN.search(text) else text.lower())
         if words is None:
             return self.whole(text)
-        if len(self) > WORDS_KEPT:
-            self.clear()
+        self.age()
         return b"".join(map(self.__getitem__, words))
 
 
