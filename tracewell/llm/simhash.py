@@ -124,6 +124,7 @@ def links(fps: DataFrame, block: int = 2048) -> DataFrame:
     """
     keyed = fps.select("fp", F.explode(F.expr(ring_keys())).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    sizes = stored(sizes, "sizes")  # so that adaptive execution splits a hot key in the join
     placed = keyed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int"))
     groups = placed.select("fp", "key", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     grouped = groups.select("fp", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))

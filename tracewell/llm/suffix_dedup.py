@@ -106,25 +106,26 @@ def removed(docs: DataFrame, width: int = 200, all_texts: bool = False) -> DataF
     texts = named.filter(F.octet_length("_text") >= width).select("k1", "k2", "_text")
     found = stored(map_rows(texts, text_runs, "k1 long, k2 long, anchor long, bytes long, at long", 65536), "runs")
     # Most anchors occur once; of their runs only the anchor is shuffled a first time.
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Counts are stored before they are joined: adaptive execution then splits a hot key of the other side.
+    twice = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
     shared = stored(found.join(twice, "anchor", "left_semi"), "shared-runs")
 
     # Per different run: how often it occurs, and one of its occurrences. Per anchor: its different runs.
     tag = F.xxhash64("k1", "k2", "at")
     kinds = stored(shared.groupBy("anchor", "bytes").agg(F.count("*").alias("n"), F.min(tag).alias("chosen")), "kinds")
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds"), F.min("n").alias("rarest"))
-    anchors = anchors.select("anchor", F.expr("n_kinds > 1 and rarest = 1").alias("mixed"), (F.col("n_kinds") > MOST_RUNS).alias("large"))
+    anchors = stored(anchors.select("anchor", F.expr("n_kinds > 1 and rarest = 1").alias("mixed"), (F.col("n_kinds") > MOST_RUNS).alias("large")), "buckets")
     # sorts: the run's bytes are to be sorted; alone: its repetitions are not known yet.
     first = F.floor(F.col("at") / width).cast("int")
     run = {"first": first, "last": (first + F.col("at") % width).cast("int"), "anchor": F.col("anchor"), "bytes": F.col("bytes"), "sorts": F.col("mixed") & (tag == F.col("chosen")), "alone": F.col("n") == 1, "large": F.col("large")}
     marked = shared.join(kinds.join(anchors, "anchor"), ["anchor", "bytes"]).select("k1", "k2", F.struct(*(v.alias(k) for k, v in run.items())).alias("run"))
-    lists = marked.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs"))
+    lists = stored(marked.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "lists")
     kept_text = F.col("_text") if all_texts else F.when(F.col("runs").isNotNull(), F.col("_text"))
     touched = stored(named.join(lists, ["k1", "k2"], "left").select("_row", "k1", "k2", kept_text.alias("_text"), "runs"), "touched")
 
     texts = touched.filter("exists(runs, r -> r.sorts)").select("k1", "k2", "_text", F.expr("filter(runs, r -> r.sorts)").alias("runs"))
     details = sorted_buckets(texts, width).unionAll(large_buckets(texts, width))
-    details = details.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("more"))
+    details = stored(details.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("more")), "details")
     whole = "transform(filter(runs, r -> not r.alone), r -> struct(r.first as first, r.last as last))"
     none = "cast(array() as array<struct<first: int, last: int>>)"
     known = touched.filter("runs is not null").join(details, ["k1", "k2"], "left").withColumn("strings", F.expr(f"concat({whole}, coalesce(more, {none}))"))
@@ -195,7 +196,7 @@ def large_buckets(texts: DataFrame, width: int) -> DataFrame:
 
     each = stored(map_rows(chosen_runs(texts, large=True), strings, "k1 long, k2 long, first int, alone boolean, bytes long, name binary", 65536), "strings")
     # Strings of one run all differ, so a string in two different runs is repeated.
-    twice = each.groupBy("name").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).filter("a < b").select("name")
+    twice = stored(each.groupBy("name").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).filter("a < b").select("name"), "names")
     return each.filter("alone").join(twice, "name", "left_semi").selectExpr("k1", "k2", "first", "first as last").distinct()
 
 
