@@ -14,7 +14,7 @@ START = datetime(2024, 1, 1)
 
 
 def make_rows(count: int, seed: int):
-    """A busy key with a third of all rows, shared instants, gaps of exactly one window, NULL keys."""
+    """A busy key with a third of all rows, shared instants, gaps of exactly one window, NULL keys and times."""
     rng = random.Random(seed)
     rows = []
     for i in range(count):
@@ -22,10 +22,14 @@ def make_rows(count: int, seed: int):
         ts = START + timedelta(seconds=rng.choice([0, 0, 60, 300, rng.randrange(0, 4000, 20)]))
         if rng.random() < 0.1:
             ts += timedelta(microseconds=1)
-        rows.append((i, key, rng.choice([10, 11, 12, 13, 14, None]), ts))
+        rows.append((i, key, rng.choice([10, 11, 12, 13, 14, None]), None if rng.random() < 0.08 else ts))
     return rows
 
 
+def within(ts, t2, window):
+    return ts is not None and t2 is not None and ts - window <= t2 <= ts
+
+
 def frame(spark, rows, names="id long, k long, who long, ts timestamp_ntz"):
     return spark.createDataFrame(rows, names).repartition(5, "id" if "id" in names else "auth")
 
@@ -48,7 +52,10 @@ def test_range_count(spark, limit, window):
     rows = make_rows(150, 2)
     df = frame(spark, rows)
     out = range_count(df, "ts", window, "n", "id", hot([df], limit))
-    expected = {i: sum(k2 == k and ts - window <= t2 <= ts for _, k2, _, t2 in rows) for i, k, _, ts in rows}
+    expected = {
+        i: sum(k2 == k and (within(ts, t2, window) or ts is None and t2 is None) for _, k2, _, t2 in rows)
+        for i, k, _, ts in rows
+    }
     assert {r["id"]: r["n"] for r in out.collect()} == expected
 
 
@@ -59,7 +66,7 @@ def test_range_distinct(spark, limit, window):
     df = frame(spark, rows)
     out = range_distinct(df, "ts", window, "who", "n", "id", hot([df], limit))
     expected = {
-        i: len({w for _, k2, w, t2 in rows if k2 == k and w is not None and ts - window <= t2 <= ts})
+        i: len({w for _, k2, w, t2 in rows if k2 == k and w is not None and within(ts, t2, window)})
         for i, k, _, ts in rows
     }
     assert {r["id"]: r["n"] for r in out.collect()} == expected
@@ -74,7 +81,7 @@ def test_asof_last(spark, limit):
     got = {r["id"]: None if r["hit"] is None else (r["hit"]["auth"], r["hit"]["who"]) for r in out.collect()}
     expected = {}
     for i, k, _, ts in left:
-        seen = [(t2, a, w) for a, k2, w, t2 in right if k is not None and k2 == k and t2 <= ts]
+        seen = [(t2, a, w) for a, k2, w, t2 in right if k is not None and k2 == k and within(ts, t2, timedelta(days=9))]
         best = max(seen, key=lambda s: s[:2], default=None)
         expected[i] = None if best is None else (best[1], best[2])
     assert got == expected
@@ -85,7 +92,7 @@ def test_asof_last(spark, limit):
 def test_previous_row(spark, limit, text_ids):
     rows = make_rows(150, 6)
     if text_ids:
-        rows = [(f"{(i * 2654435761) % 2**32:08x}-{i}", k, w, ts) for i, k, w, ts in rows]
+        rows = [(f"auth_{(i * 2654435761) % 2**32:08x}-{i}", k, w, ts) for i, k, w, ts in rows]
     else:
         rows = [(i * 700_001, k, w, ts) for i, k, w, ts in rows]
     kind = "string" if text_ids else "long"
@@ -95,7 +102,7 @@ def test_previous_row(spark, limit, text_ids):
     expected = {}
     for k in {r[1] for r in rows}:
         last = None
-        for _, i in sorted((ts, i) for i, k2, _, ts in rows if k2 == k):
+        for _, i in sorted((ts or datetime.min, i) for i, k2, _, ts in rows if k2 == k):
             expected[i], last = last, i
     assert got == expected
 

@@ -1,7 +1,7 @@
 """Hot keys: finding them, spreading their rows, and joining them without one big task.
 
 A window or a join puts all rows of a key in one task. Before a plan is built, one
-aggregation over the key columns tells whether any key has more rows than a limit.
+aggregation over the key columns lists the keys that have more rows than a limit.
 If none has, operators use plain windows and joins. Otherwise rows of hot keys get a
 lane of their own, so that an operator partitioned by (key, lane) never sees a group
 above the limit, and their results come from a computation that is cut into time slices.
@@ -38,11 +38,15 @@ def null_safe_join(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+# At most so many keys of a column can be hot: the limit grows with the tables.
+MOST_HOT_KEYS = 10_000
+
+
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with more than `limit` rows, or None where there are none. At most
-    rows / limit such keys can exist, so the list is small enough to broadcast however
-    large the tables are."""
+    """Keys with more than `limit` rows, or None where there are none. The limit is at least
+    a MOST_HOT_KEYS-th of all rows, so the list is small enough to hold and to broadcast
+    however large the tables are."""
 
     key: str
     keys: DataFrame | None = None
@@ -50,16 +54,18 @@ class HotKeys:
     @classmethod
     def find(cls, sources: dict[str, list[DataFrame]], limit: int) -> dict[str, "HotKeys"]:
         """Hot keys per key column, counted over all frames given for it. Tables of no more
-        than `limit` rows have none; otherwise one job that returns at most one row per key
-        column settles which columns have any."""
+        than `limit` rows have none; otherwise one job lists them, once for all later plans."""
         every = {id(f): f for frames in sources.values() for f in frames}.values()
         total = reduce(DataFrame.union, [f.select(F.lit(1)) for f in every]).count()
         if total <= limit:
             return {key: cls(key) for key in sources}
-        over = {key: _counts(frames, key).filter(F.col("_rows") > limit) for key, frames in sources.items()}
-        present = [hot.limit(1).select(F.lit(key).alias("_key")) for key, hot in over.items()]
-        skewed = {row["_key"] for row in reduce(DataFrame.union, present).collect()}
-        return {key: cls(key, hot.select(key) if key in skewed else None) for key, hot in over.items()}
+        limit = max(limit, total // MOST_HOT_KEYS)
+        found = {}
+        for key, frames in sources.items():
+            over = _counts(frames, key).filter(F.col("_rows") > limit).select(key)
+            rows = over.collect()
+            found[key] = cls(key, over.sparkSession.createDataFrame(rows, over.schema) if rows else None)
+        return found
 
     @property
     def any(self) -> bool:

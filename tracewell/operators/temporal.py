@@ -58,12 +58,12 @@ def _trailing_sum(arriving: str, leaving: str, ts: str, window: timedelta, hot:
     """Sum of `arriving` up to t minus sum of `leaving` up to just before t - window.
 
     Both frames only grow along the sorted group, so the cost does not depend on how many
-    rows are inside the window, as it would for a sliding frame."""
+    rows are inside the window, as it would for a sliding frame. Rows without a time are
+    peers of each other and of no other row."""
     spec = f"PARTITION BY {', '.join(hot.placement)} ORDER BY {ts} RANGE BETWEEN UNBOUNDED PRECEDING AND"
     older = f"INTERVAL '{window.total_seconds() + 1e-6:.6f}' SECOND PRECEDING"
-    return F.expr(
-        f"sum({arriving}) OVER ({spec} CURRENT ROW) - coalesce(sum({leaving}) OVER ({spec} {older}), 0)"
-    )
+    so_far = f"sum({arriving}) OVER ({spec} CURRENT ROW)"
+    return F.expr(f"if({ts} is null, {so_far}, {so_far} - coalesce(sum({leaving}) OVER ({spec} {older}), 0))")
 
 
 def _override_hot(df: DataFrame, table: DataFrame, ts: str, out: str, hot: HotKeys) -> DataFrame:
@@ -86,7 +86,8 @@ def range_count(
     busy: DataFrame | None = None,
     placed: bool = False,
 ) -> DataFrame:
-    """Rows of the same key in [t - window, t], both ends included, rows at t all included.
+    """Rows of the same key in [t - window, t], both ends included, rows at t all included;
+    for a row without a time, the key's rows without one.
 
     `busy` holds the hot keys' rows, if the caller has them at less cost than `df`;
     `placed` says that the rows already sit in the task of their (key, lane)."""
@@ -115,7 +116,8 @@ def range_distinct(
     hot: HotKeys,
     busy: DataFrame | None = None,
 ) -> DataFrame:
-    """Distinct non-NULL values of `who` among the key's rows in [t - window, t].
+    """Distinct non-NULL values of `who` among the key's rows in [t - window, t]; rows without
+    a time count for no other row and have 0 themselves.
 
     A value is present at t while its latest row is at most `window` old. Its rows
     therefore form stays: one arrival when the previous row is too old, one departure
@@ -126,14 +128,16 @@ def range_distinct(
     own = Window.partitionBy(*hot.placement, who).orderBy(ts)
     previous, following = F.lag(ts).over(own), F.lead(ts).over(own)
     span = F.lit(window)
-    counted = F.col(who).isNotNull()
+    timed = F.col(ts).isNotNull()
+    counted = F.col(who).isNotNull() & timed
     plain = tagged.withColumns(
         {
             "_arrives": F.when(counted & (previous.isNull() | (previous < F.col(ts) - span)), 1).otherwise(0),
             "_leaves": F.when(counted & (following.isNull() | (following > F.col(ts) + span)), 1).otherwise(0),
         }
     )
-    plain = plain.withColumn(out, _trailing_sum("_arrives", "_leaves", ts, window, hot)).drop("_arrives", "_leaves")
+    present = _trailing_sum("_arrives", "_leaves", ts, window, hot)
+    plain = plain.withColumn(out, F.when(timed, present).otherwise(0)).drop("_arrives", "_leaves")
     if not hot.any:
         return plain
 
@@ -156,14 +160,15 @@ def range_distinct(
             _step(F.col("_last") + span, DEPARTURE, F.when(ends, -1)),
         ).alias("_steps"),
     ).select(key, F.inline("_steps"))
-    instants = busy.select(key, F.inline(F.array(_step(F.col(ts), ARRIVAL, F.lit(0)))))
+    instants = busy.filter(timed).select(key, F.inline(F.array(_step(F.col(ts), ARRIVAL, F.lit(0)))))
     steps = (
         stays.filter(F.col("_delta").isNotNull())
         .unionByName(instants)
         .groupBy(key, "_at", "_phase")
         .agg(F.sum("_delta").alias("_delta"))
     )
-    return _override_hot(plain, _level_after(steps, key), ts, out, hot)
+    found = _override_hot(plain, _level_after(steps, key), ts, out, hot)
+    return found.withColumn(out, F.when(timed, F.col(out)).otherwise(0))
 
 
 def asof_last(
@@ -182,10 +187,10 @@ def asof_last(
     """Add the struct `out`: the latest right row of the key at or before each left row.
 
     Right rows at the same instant are told apart by the largest `tie`. The struct is NULL
-    only when there is no such row. Both inputs meet in one sorted timeline, so no pair of
+    only when there is no such row; rows without a time match nothing. Both inputs meet in one sorted timeline, so no pair of
     rows is ever formed."""
     hit = F.struct(*columns)
-    known = right.filter(F.col(by).isNotNull())
+    known = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
     tagged = hot.tag(left, row_id)
     lane = [F.lit(0).cast("long").alias(hot.lane)] if hot.any else []
     marks = hot.without(known).select(
@@ -225,12 +230,17 @@ def asof_last(
     return _override_hot(plain, table, left_ts, out, hot)
 
 
-def _tie_slice(column: Column, kind: T.DataType) -> Column:
-    """Order-keeping slice of an id: a million neighbours of a number, or the leading
-    characters of a random identifier."""
-    if isinstance(kind, T.IntegralType):
-        return F.shiftright(column, 20)
-    return F.substring(column, 1, 6)
+def _with_tie_slice(rows: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """Add `_tie_slice`, an order-keeping slice of the id: a million neighbours of a number, or
+    the few characters of a text behind what all ids of the instant begin with."""
+    if isinstance(rows.schema[tie].dataType, T.IntegralType):
+        return rows.withColumn("_tie_slice", F.shiftright(tie, 20))
+    same = "filter(sequence(1, least(length(_low), length(_high))), i -> substr(_low, i, 1) <> substr(_high, i, 1))"
+    common = F.expr(f"if(_low = _high, length(_low), coalesce(array_min({same}) - 1, least(length(_low), length(_high))))")
+    ends = rows.groupBy(key, ts).agg(F.min(tie).alias("_low"), F.max(tie).alias("_high"))
+    ends = ends.select(key, ts, common.alias("_common"))
+    sliced = null_safe_join(rows, ends, [key, ts], "left")
+    return sliced.withColumn("_tie_slice", F.substring(F.col(tie), F.lit(1), F.col("_common") + 4)).drop("_common")
 
 
 def previous_row(
@@ -246,13 +256,8 @@ def previous_row(
 
     # Hot keys, from the inside out: within an id slice of one instant, then the last row
     # of the slice before within the minute, then the last row of the minute before.
-    cut = hot.only(df).withColumns(
-        {
-            "_row": row,
-            "_minute": epoch_bucket(F.col(ts), MINUTE),
-            "_tie_slice": _tie_slice(F.col(tie), df.schema[tie].dataType),
-        }
-    )
+    cut = hot.only(df).withColumns({"_row": row, "_minute": epoch_bucket(F.col(ts), MINUTE)})
+    cut = _with_tie_slice(cut, key, ts, tie)
     slice_keys = [key, "_minute", ts, "_tie_slice"]
     tails = cut.groupBy(*slice_keys).agg(F.max_by("_row", F.col(tie)).alias("_tail"))
     minutes = tails.groupBy(key, "_minute").agg(F.max_by("_tail", F.struct(ts, "_tie_slice")).alias("_tail"))
