@@ -13,7 +13,7 @@ and differ are their bytes sorted, each different run once.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,7 +27,7 @@ ANCHOR = 32
 STRINGS_AT_A_TIME = 1 << 20
 #: Bytes that are sorted together (a bucket is never parted), and the most runs of a bucket that is.
 SORTED_TOGETHER = 1 << 18
-MOST_RUNS = 1024
+MOST_RUNS = 4096
 
 _random = np.random.default_rng(20)
 _BYTE = _random.integers(0, 2**64, 256, dtype=np.uint64)
@@ -85,12 +85,13 @@ def joined(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def removed(docs: DataFrame, width: int = 200, all_texts: bool = False) -> DataFrame:
+def removed(docs: DataFrame, value: Callable[[str, list[list[int]]], str | None], width: int = 200, all_texts: bool = False) -> DataFrame:
     """docs' rows, all columns but text as `_row`, with `spans`: what is to be removed of the text, as an array of [start, end) in UTF-8 bytes.
 
-    `_text` is the text (null counts as empty) of rows with spans, and of the others if all_texts. Texts
-    shorter than width, among them empty ones, have no spans. Rows that repeat a text repeat each other, so
-    all of it goes from each of them (if it has width bytes).
+    `value` is what the function of that name makes of the text (null counts as empty) and the spans of a
+    row with a repeated string; of other rows it is the text if all_texts, else null. Texts shorter than
+    width, among them empty ones, have no spans. Rows that repeat a text repeat each other, so all of it
+    goes from each of them (if it has width bytes).
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -130,9 +131,13 @@ def removed(docs: DataFrame, width: int = 200, all_texts: bool = False) -> DataF
     none = "cast(array() as array<struct<first: int, last: int>>)"
     known = touched.filter("runs is not null").join(details, ["k1", "k2"], "left").withColumn("strings", F.expr(f"concat({whole}, coalesce(more, {none}))"))
 
-    as_spans = row_udf(lambda strings: joined([(x["first"], x["last"] + width) for x in strings]), "array<array<int>>")
-    untouched = touched.filter("runs is null").select("_row", F.array().cast("array<array<int>>").alias("spans"), "_text")
-    return known.select("_row", as_spans("strings").alias("spans"), "_text").unionAll(untouched)
+    def row(strings: list[dict], text: str) -> dict:
+        spans = joined([(x["first"], x["last"] + width) for x in strings])
+        return {"spans": spans, "value": value(text, spans)}
+
+    done = row_udf(row, "struct<spans: array<array<int>>, value: string>")
+    untouched = touched.filter("runs is null").select("_row", F.array().cast("array<array<int>>").alias("spans"), F.col("_text").alias("value"))
+    return known.select("_row", done("strings", "_text").alias("_done")).select("_row", "_done.spans", "_done.value").unionAll(untouched)
 
 
 def chosen_runs(texts: DataFrame, large: bool) -> DataFrame:
@@ -213,8 +218,10 @@ def digest(docs: DataFrame, width: int = 200) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"))
 
-    sha_left = row_udf(lambda text, spans: hashlib.sha256(without_spans(text, spans)).hexdigest() if text is not None and spans else None, "string")
-    kept = removed(sized, width).withColumn("kept", F.coalesce(sha_left("_text", "spans"), F.col("_row.sha")))
+    def sha_left(text: str, spans: list[list[int]]) -> str | None:
+        return hashlib.sha256(without_spans(text, spans)).hexdigest() if spans else None
+
+    kept = removed(sized, sha_left, width).withColumn("kept", F.coalesce("value", F.col("_row.sha")))
     n_removed = F.expr("aggregate(spans, 0L, (a, s) -> a + s[1] - s[0])")
     return kept.select("_row.doc_id", "_row.n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256"))
 
@@ -225,9 +232,11 @@ def deduplicated(docs: DataFrame, width: int = 200) -> DataFrame:
     Where a cut falls inside a character, what is left of it becomes the replacement character.
     """
 
-    cut = row_udf(lambda text, spans: without_spans(text, spans).decode(errors="replace") if spans else text, "string")
-    left = F.when(F.col("_row._no_text"), F.lit(None)).otherwise(cut("_text", "spans"))
-    found = removed(docs, width, all_texts=True).withColumn("_left", left)
+    def cut(text: str, spans: list[list[int]]) -> str:
+        return without_spans(text, spans).decode(errors="replace") if spans else text
+
+    left = F.when(~F.col("_row._no_text"), F.col("value"))
+    found = removed(docs, cut, width, all_texts=True).withColumn("_left", left)
     values = {"text": F.col("_left")}
     if "n_chars" in docs.columns:
         values["n_chars"] = F.length("_left").cast(docs.schema["n_chars"].dataType)
