@@ -22,12 +22,14 @@ HEADLINE = [
     "feat_last_login_asof",
     "feat_login_history_lag",
     "feat_all",
+    "feat_all_hot",
     "clean_dedup",
     "clean_all",
     "clean_report",
     "rule_velocity_raw",
     "prim_interval_self_join",
     "rule_flags_all",
+    "rule_flags_all_hot",
     "rule_trigger_counts",
     "mart_fraud_summary",
     "mart_rule_breakdown",

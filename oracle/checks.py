@@ -30,7 +30,7 @@ PARTS = {
         select e.event_id, e.user_id, e.ts, u.home_latitude, u.home_longitude
         from events e join u on e.user_id = u.user_id where e.event_type not in ('purchase', 'click'))""",
     "t": f"""select * replace ("timestamp" as "timestamp") from (select {_columns(TRANSACTION_RULES)}
-        from (select e.*, s.step from events e join (values {", ".join(f"({s})" for s in STEPS)}) s(step) on true
+        from (select e.*, unnest([{", ".join(map(str, STEPS))}]) as step from events e
               where e.event_type in ('purchase', 'click'))
         where {STEP_RULE})""",
     "ratio": """select t.transaction_id, round(least(t.amount / nullif(u.wallet_balance, 0), 1.0), 4) as ratio
@@ -125,8 +125,8 @@ PARTS = {
             cos(radians(home_latitude)) * cos(radians(ip_latitude)) * cos(radians(ip_longitude) - radians(home_longitude))
             + sin(radians(home_latitude)) * sin(radians(ip_latitude))))) end as km
         from pieces where rn = 1 and user_id is not null and beneficiary_id is not null""",
-    "totals": """select count(*) as n, count(*) filter (where flag) as hits, sum(cast(amount as decimal(18,2))) as money,
-        coalesce(sum(cast(amount as decimal(18,2))) filter (where flag), 0) as risk from p""",
+    "totals": """select count(*) as n, count(*) filter (where flag) as hits, sum(cast(amount as decimal(28,10))) as money,
+        coalesce(sum(cast(amount as decimal(28,10))) filter (where flag), 0) as risk from p""",
 }
 
 
@@ -142,8 +142,12 @@ def _needed(text: str) -> list[str]:
     return [name for name in PARTS if name in found]
 
 
+# Parts that others spell out several times: computed once.
+ONCE = {"t", "l", "u", "latest"}
+
+
 def _check(text: str) -> str:
-    parts = ",\n".join(f"{name} as ({PARTS[name]})" for name in _needed(text))
+    parts = ",\n".join(f"{name} as {'materialized ' * (name in ONCE)}({PARTS[name]})" for name in _needed(text))
     return f"with {parts}\n{text}"
 
 
@@ -181,22 +185,27 @@ _DECLARED = {
     "users": {
         "not_null": "user_id full_name email phone wallet_balance created_at kyc_status is_active",
         "check": "kyc_status risk_tier",
+        "length": "full_name email phone home_city home_country kyc_status risk_tier",
         "primary_key": "user_id",
         "unique": "email phone",
     },
     "beneficiaries": {
         "not_null": "beneficiary_id beneficiary_name beneficiary_bank_account beneficiary_bank_code"
         " beneficiary_country created_at is_verified is_mule_flagged",
+        "length": "beneficiary_name beneficiary_phone beneficiary_bank_account beneficiary_bank_code beneficiary_country",
         "primary_key": "beneficiary_id",
     },
     "device_authentications": {
         "not_null": "auth_id user_id device_id login_timestamp is_proxy_vpn is_emulator",
+        "length": "device_id ip_address ip_geolocation_country ip_geolocation_city os_type browser_fingerprint",
         "primary_key": "auth_id",
         "foreign_key": "user_id",
     },
     "transactions": {
         "not_null": "transaction_id user_id beneficiary_id amount timestamp status final_decision rule_flags"
         " is_ground_truth_fraud",
+        "length": "channel merchant_country status final_decision reviewed_by",
+        "range": "transaction_balance_ratio",
         "primary_key": "transaction_id",
         "foreign_key": "user_id beneficiary_id",
     },
@@ -380,11 +389,38 @@ CHECKS = {
             union all select '50%', quantile_cont(cast(amount as double), 0.5) from t
             union all select '75%', quantile_cont(cast(amount as double), 0.75) from t
             union all select 'max', max(cast(amount as double)) from t)""",
-        "io_csv_roundtrip": """select transaction_id, cast(amount as double) as amount, "timestamp",
-            merchant_country from t""",
+        "io_csv_roundtrip": """select transaction_id, cast(user_id as varchar) as user_id,
+            cast(beneficiary_id as varchar) as beneficiary_id, cast(amount as double) as amount, "timestamp",
+            'MOBILE_APP' as channel, merchant_country, 'pending' as status, cast(fraud_score as double) as fraud_score,
+            'pending' as final_decision, is_ground_truth_fraud from t""",
+        "clean_repair_counts": """select *, rows_before - orphans_purged - rows_after as copies_removed from (
+            select count(*) as rows_before, count(*) filter (where not ok) as orphans_purged,
+            count(*) filter (where ok and amount < 0) as amounts_made_positive,
+            count(*) filter (where ok and (fraud_score < 0 or fraud_score > 1)) as scores_clamped,
+            count(*) filter (where ok and (ratio is null or km is null or n is null or is_new is null
+                or is_off_hours is null or is_weekend is null or is_new_device is null or risky is null))
+                as rows_with_defaults,
+            count(*) filter (where ok and "timestamp" < created_at) as times_moved, (select count(*) from c) as rows_after
+            from (select f.*, u.created_at, u.user_id is not null and b.beneficiary_id is not null as ok
+                from feat f left join u on f.user_id = u.user_id left join b on f.beneficiary_id = b.beneficiary_id))""",
+        "mart_preview_rows": """select * from (values ('features', least(5, (select count(*) from c)), 0),
+            ('mart', least(5, (select count(*) from c)), 0),
+            ('portable', least(5, (select count(*) from p where flag)), 0), ('sample', -1, 0)) v(preview, rows, strangers)""",
+        "io_append_defaults": """select full_name, email, phone, 0.0::double as wallet_balance, 'Vietnam' as home_country,
+            'pending' as kyc_status, 'low' as risk_tier, true as is_active, count(*) * 2 as copies,
+            (select count(*) * 2 from u) as new_ids from u group by full_name, email, phone""",
+        "io_staged_run": "select transaction_id, rule_flags from flags",
+        "sql_views": """select x.rule_name, count(*) as triggers, count(distinct c.user_id) as users, count(*) as flagged
+            from fired x join c using (transaction_id) group by x.rule_name""",
+        "param_velocity_cross_border": """select 'velocity_rule' as rule_name, count(*) as triggered_count from (
+                select count(*) over (partition by user_id order by ts
+                range between interval '5' minute preceding and current row) as k from c) where k > 1
+            union all select 'cross_border_fraud_rule', count(*) from c
+                where merchant_country in ('Iran', 'Russia') and amount > 100000""",
         "io_report_csv": "select transaction_id, amount from p where flag",
         "io_parquet_marts": """select f.transaction_id, cast(f.amount as double) as amount,
             f.k as triggered_rules_count, upper(trim(b.beneficiary_bank_code)) as beneficiary_bank_code
             from flags f left join b on f.beneficiary_id = b.beneficiary_id""",
     }.items()
 }
+CHECKS |= {f"{name}_hot": CHECKS[name] for name in ("feat_all", "feat_login_history_lag", "rule_flags_all")}

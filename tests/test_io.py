@@ -43,6 +43,26 @@ def test_missing_column_is_an_error(spark, tmp_path, header):
         readers.read_flagged_csv(spark, put(tmp_path / "b", f"{header}\n1,2\n"))
 
 
+def test_amounts_are_not_rounded_and_ids_may_be_text(spark, tmp_path):
+    rows = "b7-x,5.126,true\na1-y,4.126,TRUE\nc3,none,true\na0,4.126,true\n"
+    df = readers.read_flagged_csv(spark, put(tmp_path / "e", "transaction_id,amount,biometric_evasion_flag\n" + rows))
+    assert reports.executive_metrics(df).first()["total_amount"] == 13.378
+    top = reports.top_flagged(df).orderBy("rank").collect()
+    assert [(r["transaction_id"], r["amount"]) for r in top] == [("b7-x", 5.126), ("a1-y", 4.126), ("a0", 4.126), ("c3", 0.0)]
+
+
+def test_line_breaks_in_text_survive(spark, tmp_path):
+    rows = [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    writers.write_csv(spark.createDataFrame(rows, "id string, note string"), str(tmp_path / "f"))
+    back = readers.read_csv_by_header(spark, str(tmp_path / "f"), ["id"], line_breaks=True)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_reading_without_a_key_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="transaction_id"):
+        conform(spark.createDataFrame([("u",)], "user_id string"), TRANSACTIONS)
+
+
 def test_no_rows_give_zero_rates(spark, tmp_path):
     df = readers.read_flagged_csv(spark, put(tmp_path / "c", "amount,biometric_evasion_flag\n"))
     row = reports.executive_metrics(df).first()
@@ -105,7 +125,7 @@ def test_csv_keeps_quotes_and_blanks(spark, tmp_path):
 
 
 def test_default_flags_are_an_empty_list(spark):
-    row = conform(spark.createDataFrame([("t",)], "transaction_id string"), TRANSACTIONS).first()
+    row = conform(spark.createDataFrame([("t",)], "transaction_id string"), TRANSACTIONS, inserting=True).first()
     assert row["rule_flags"] == [] and row["status"] == "pending" and row["amount"] is None
 
 

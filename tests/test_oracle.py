@@ -4,8 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
-
-QUERIES, CHECKS = entry_point.queries(), entry_point.oracle_sql()
+from oracle.checks import CHECKS
+from tracewell.plans.catalog import QUERIES
 
 # Results that depend on chance or on which rows a bare LIMIT returns: only their shape is checked.
 UNCHECKED = {"feat_preview": 5, "mart_preview": 5, "port_flagged_preview": 5, "prim_sample": None}
@@ -30,6 +30,7 @@ def test_runs(spark, sf_dir, name):
 
 def test_every_query_is_checked():
     assert set(QUERIES) == set(CHECKS) | set(UNCHECKED)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(CHECKS) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):

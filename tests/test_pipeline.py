@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracewell import Params
 from tracewell.operators import rules
 from tracewell.plans import marts
-from tracewell.plans.pipeline import plan, run, run_folder
+from tracewell.plans.pipeline import current_run, plan, run, run_folder
 from tracewell.sources.fixtures import load_fixtures, load_portable
 from tracewell.sources.schemas import LOGINS, TRANSACTIONS
 from tracewell.sources.tables import read_tables
@@ -27,7 +27,7 @@ def stored(spark, sf_dir, tmp_path_factory):
 @pytest.fixture(scope="module")
 def done(spark, stored, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
-    return run(spark, read_tables(spark, stored), out, date_partitions=True), out
+    return run(spark, read_tables(spark, stored), out, date_partitions=True), current_run(spark, out)
 
 
 def facts(tables):
@@ -49,6 +49,23 @@ def test_hot_keys_do_not_change_staged_results(spark, stored, done, tmp_path):
     assert facts(again) == facts(done[0])
 
 
+def test_staged_run_in_recompute_mode(spark, stored, tmp_path):
+    tables = read_tables(spark, stored)
+    assert facts(run(spark, tables, str(tmp_path), mode="recompute")) == facts(plan(tables, mode="recompute"))
+
+
+def test_a_failed_run_leaves_the_former_one(spark, stored, tmp_path):
+    tables, out = read_tables(spark, stored), str(tmp_path)
+    run(spark, tables, out)
+    before = current_run(spark, out)
+    broken = tables.transactions.withColumn("fraud_score", F.raise_error(F.lit("broken")).cast("decimal(5,4)"))
+    with pytest.raises(Exception, match="broken"):
+        run(spark, tables.with_(transactions=broken), out)
+    assert current_run(spark, out) == before and spark.read.parquet(f"{before}/flagged/transactions").count() == 503
+    with pytest.raises(ValueError, match="source folder"):
+        run_folder(spark, stored, stored)
+
+
 def test_portable_input_does_not_depend_on_hot_keys(spark, sf_dir):
     few, none = (load_portable(spark, sf_dir, limit) for limit in (5, 10**9))
     assert few.exceptAll(none).isEmpty() and none.exceptAll(few).isEmpty()

@@ -41,8 +41,8 @@ def exchanges(text: str) -> list[str]:
 
 
 # Single aggregate rows side by side, and writes that happen while the query is built.
-JOINED_TOTALS = {"clean_report", "port_repair_counts"}
-WRITERS = {"io_csv_roundtrip", "io_report_csv", "io_parquet_marts"}
+JOINED_TOTALS = {"clean_report", "port_repair_counts", "clean_repair_counts", "mart_preview_rows"}
+WRITERS = {"io_csv_roundtrip", "io_report_csv", "io_parquet_marts", "io_append_defaults", "io_staged_run"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - JOINED_TOTALS - WRITERS))
@@ -66,6 +66,12 @@ def test_rules_move_transfers_twice(tables, shuffled_joins):
     assert sorted(exchanges(physical(df))) == ["_dim_key", "beneficiary_id", "user_id", "user_id"]
 
 
+@pytest.mark.parametrize("name", ["rule_cross_border", "rule_structuring", "rule_evasion"])
+def test_a_single_rule_plans_no_window_of_the_others(spark, sf_dir, name):
+    text = physical(QUERIES[name](spark, sf_dir))
+    assert len(re.findall(r"Window \[", text)) == 1
+
+
 def test_copies_are_dropped_before_the_shuffle(spark, sf_dir):
     text = physical(QUERIES["clean_dedup"](spark, sf_dir))
     assert re.search(r"WindowGroupLimit.*Final.*Exchange.*WindowGroupLimit.*Partial", text, re.S)

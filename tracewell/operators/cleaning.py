@@ -8,6 +8,7 @@ from tracewell.functions.columns import local_phone
 from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
 
+# The columns that each step looks at, and the defaults it fills in.
 RETRY_KEYS = ["user_id", "beneficiary_id", "amount", "timestamp"]
 MEASURES = [
     "amount",

@@ -103,6 +103,20 @@ def mule_network(df: DataFrame, scope: Scope, out: str = MULE_NETWORK) -> DataFr
     return counted.withColumn(out, F.col("_senders") >= scope.params.mule_min_senders).drop("_senders")
 
 
+def single_rule(scope: Scope, name: str) -> DataFrame:
+    """The transfers with one rule as a boolean column of its name, and only the work it needs."""
+    df, params = scope.transactions, scope.params
+    if name == VELOCITY:
+        return velocity(df, scope)
+    if name == IMPOSSIBLE_TRAVEL:
+        return impossible_travel(df, scope)
+    if name == MULE_NETWORK:
+        return mule_network(df, scope)
+    if name == CROSS_BORDER:
+        return df.withColumn(name, cross_border(params))
+    return scope.with_beneficiaries(df).withColumn(name, {STRUCTURING: structuring, EVASION: evasion}[name](params))
+
+
 def apply_rules(scope: Scope) -> Scope:
     """Set rule_flags from scratch; running it again gives the same flags.
 

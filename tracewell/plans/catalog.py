@@ -1,6 +1,7 @@
 """Every query by name, each over the whole tables of a data folder."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +12,17 @@ from tracewell.operators.quantiles import describe
 from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
 from tracewell.plans import marts, portable, quality, reports
-from tracewell.plans.pipeline import plan
+from tracewell.plans.pipeline import current_run, plan, run
 from tracewell.sources.fixtures import load_fixtures, load_portable
 from tracewell.sources.readers import read_csv_table, read_flagged_csv
-from tracewell.sources.schemas import TRANSACTIONS
+from tracewell.sources.schemas import TRANSACTIONS, USERS
 from tracewell.sources.tables import Tables
-from tracewell.sources.writers import scratch_path, write_csv, write_mart
+from tracewell.sources.writers import append_rows, scratch_path, write_csv, write_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params()
+# The same rules with a limit so low that the largest keys of small tables are hot too.
+HOT = replace(PARAMS, hot_key_rows=60)
 QUERIES: dict[str, Query] = {}
 
 
@@ -43,20 +46,20 @@ def shown(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(out)
 
 
-def raw_scope(spark: SparkSession, sf_dir: str) -> Scope:
-    return Scope.of(load_fixtures(spark, sf_dir), PARAMS)
+def raw_scope(spark: SparkSession, sf_dir: str, params: Params = PARAMS) -> Scope:
+    return Scope.of(load_fixtures(spark, sf_dir), params)
 
 
-def featured(spark: SparkSession, sf_dir: str) -> Scope:
-    return features.build_features(raw_scope(spark, sf_dir))
+def featured(spark: SparkSession, sf_dir: str, params: Params = PARAMS) -> Scope:
+    return features.build_features(raw_scope(spark, sf_dir, params))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> Scope:
     return cleaning.clean(featured(spark, sf_dir))
 
 
-def flagged(spark: SparkSession, sf_dir: str) -> Tables:
-    return plan(load_fixtures(spark, sf_dir), PARAMS)
+def flagged(spark: SparkSession, sf_dir: str, params: Params = PARAMS) -> Tables:
+    return plan(load_fixtures(spark, sf_dir), params)
 
 
 def portable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +143,17 @@ def feat_all(spark, sf_dir):
     return shown(featured(spark, sf_dir).transactions, *features.PREVIEW_COLUMNS)
 
 
+@query
+def feat_all_hot(spark, sf_dir):
+    return shown(featured(spark, sf_dir, HOT).transactions, *features.PREVIEW_COLUMNS)
+
+
+@query
+def feat_login_history_lag_hot(spark, sf_dir):
+    scope = raw_scope(spark, sf_dir, HOT)
+    return shown(features.login_history(scope.tables.logins, scope.hot_users))
+
+
 @query
 def feat_preview(spark, sf_dir):
     return shown(features.feature_preview(featured(spark, sf_dir).transactions, seed=7))
@@ -247,7 +261,7 @@ def constraint_report(spark, sf_dir):
 
 
 def _rule(spark, sf_dir, name):
-    hits = flagged(spark, sf_dir).transactions.filter(F.array_contains("rule_flags", name))
+    hits = rules.single_rule(cleaned(spark, sf_dir), name).filter(F.col(name))
     return shown(hits, "transaction_id")
 
 
@@ -292,6 +306,11 @@ def rule_flags_all(spark, sf_dir):
     return shown(flagged(spark, sf_dir).transactions, "transaction_id", "rule_flags")
 
 
+@query
+def rule_flags_all_hot(spark, sf_dir):
+    return shown(flagged(spark, sf_dir, HOT).transactions, "transaction_id", "rule_flags")
+
+
 @query
 def rule_trigger_counts(spark, sf_dir):
     return shown(rules.trigger_counts(flagged(spark, sf_dir).transactions))
@@ -465,6 +484,69 @@ def prim_array_any(spark, sf_dir):
     return shown(flagged(spark, sf_dir).transactions.select("transaction_id", hit.alias("evading")))
 
 
+@query
+def mart_preview_rows(spark, sf_dir):
+    """How many rows the previews show, and how many of them are rows of what they preview."""
+    tables = flagged(spark, sf_dir)
+    shown_rows = {
+        "features": (features.feature_preview(tables.transactions, seed=7), tables.transactions),
+        "mart": (marts.preview(marts.fraud_summary(tables)), tables.transactions),
+        "portable": (portable.flagged_preview(portable_rows(spark, sf_dir)), portable_rows(spark, sf_dir)),
+        "sample": (load_fixtures(spark, sf_dir).transactions.sample(fraction=0.03, seed=1), load_fixtures(spark, sf_dir).transactions),
+    }
+    parts = []
+    for name, (some, every) in shown_rows.items():
+        ids = some.select("transaction_id")
+        strangers = ids.join(every.select("transaction_id"), "transaction_id", "left_anti").agg(F.count(F.lit(1)).alias("strangers"))
+        rows = F.lit(-1) if name == "sample" else F.count(F.lit(1))
+        parts.append(ids.agg(rows.cast("long").alias("rows")).crossJoin(strangers).select(F.lit(name).alias("preview"), "rows", "strangers"))
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query
+def clean_repair_counts(spark, sf_dir):
+    return shown(quality.repair_counts(featured(spark, sf_dir)))
+
+
+@query
+def io_append_defaults(spark, sf_dir):
+    """Bulk insert of users without ids, times and defaults; ids are counted, not compared."""
+    path = scratch_path(spark, "users")
+    users = load_fixtures(spark, sf_dir).users.select("full_name", "email", "phone")
+    append_rows(users, path, USERS)
+    append_rows(users, path, USERS)
+    back = spark.read.parquet(path)
+    columns = ["full_name", "email", "phone", "wallet_balance", "home_country", "kyc_status", "risk_tier", "is_active"]
+    new_ids = back.groupBy("user_id").count().agg(F.count_if(F.col("count") == 1).alias("new_ids"))
+    return shown(back.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).join(F.broadcast(new_ids)))
+
+
+@query
+def io_staged_run(spark, sf_dir):
+    """The batch stage by stage, read back from its current run."""
+    path = scratch_path(spark, "batch")
+    run(spark, load_fixtures(spark, sf_dir), path, PARAMS)
+    return shown(spark.read.parquet(f"{current_run(spark, path)}/flagged/transactions"), "transaction_id", "rule_flags")
+
+
+@query
+def sql_views(spark, sf_dir):
+    """The marts through their view names."""
+    marts.register_views(flagged(spark, sf_dir), PARAMS)
+    return spark.sql(
+        "select b.rule_name, count(*) as triggers, count(distinct s.user_id) as users, sum(s.is_flagged) as flagged"
+        " from vw_dashboard_rule_breakdown b join vw_dashboard_fraud_summary s using (transaction_id) group by b.rule_name"
+    )
+
+
+@query
+def param_velocity_cross_border(spark, sf_dir):
+    """Rules with thresholds other than the default."""
+    params = replace(PARAMS, velocity_max=1, cross_border_floor=100_000, high_risk_countries=("Iran", "Russia"))
+    wanted = [rules.VELOCITY, rules.CROSS_BORDER]
+    counts = rules.trigger_counts(flagged(spark, sf_dir, params).transactions)
+    return shown(counts.filter(F.col("rule_name").isin(wanted)))
+
 @query
 def prim_unnest(spark, sf_dir):
     rows = flagged(spark, sf_dir).transactions.filter(F.cardinality("rule_flags") > 0)
@@ -518,7 +600,7 @@ def io_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "raw_transactions")
     write_csv(load_fixtures(spark, sf_dir).transactions, path)
     back = read_csv_table(spark, path, TRANSACTIONS)
-    return shown(back.withColumn("transaction_id", F.col("transaction_id").cast("long")), "transaction_id", "amount", "timestamp", "merchant_country")
+    return shown(back.withColumn("transaction_id", F.col("transaction_id").cast("long")), "transaction_id", "user_id", "beneficiary_id", "amount", "timestamp", "channel", "merchant_country", "status", "fraud_score", "final_decision", "is_ground_truth_fraud")
 
 
 @query
@@ -527,7 +609,8 @@ def io_report_csv(spark, sf_dir):
     path = scratch_path(spark, "cleaned_transactions")
     write_csv(portable_rows(spark, sf_dir), path)
     back = read_flagged_csv(spark, path)
-    return shown(back.filter(is_true_text(F.col("biometric_evasion_flag"))), "transaction_id", "amount")
+    back = back.filter(is_true_text(F.col("biometric_evasion_flag")))
+    return shown(back.withColumn("transaction_id", F.col("transaction_id").cast("long")), "transaction_id", "amount")
 
 
 @query

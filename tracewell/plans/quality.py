@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.operators.cleaning import FILL_FALSE, FILL_ZERO, clean
+from tracewell.operators.scope import Scope
 from tracewell.sources.schemas import SPECS, TableSpec
 from tracewell.sources.tables import Tables
 
@@ -36,6 +38,28 @@ def cleaning_report(tables: Tables) -> DataFrame:
     )
 
 
+def repair_counts(scope: Scope) -> DataFrame:
+    """What cleaning repairs in the transfers, step by step: each step counts the rows that the
+    steps before it leave. One pass over the features, and one count of what is left."""
+    df = scope.with_users(scope.with_beneficiaries(scope.transactions))
+    known = F.col("_known_user") & F.col("_known_beneficiary")
+    filled = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in FILL_ZERO + FILL_FALSE])
+    score = F.col("fraud_score")
+    counts = {
+        "rows_before": F.count(F.lit(1)),
+        "orphans_purged": F.count_if(~known),
+        "amounts_made_positive": F.count_if(known & (F.col("amount") < 0)),
+        "scores_clamped": F.count_if(known & ((score < 0) | (score > 1))),
+        "rows_with_defaults": F.count_if(known & filled),
+        "times_moved": F.count_if(known & (F.col("timestamp") < F.col("_user_created_at"))),
+    }
+    before = df.agg(*[value.alias(name) for name, value in counts.items()])
+    after = clean(scope).transactions.agg(F.count(F.lit(1)).alias("rows_after"))
+    # Both sides are single aggregate rows.
+    copies = F.col("rows_before") - F.col("orphans_purged") - F.col("rows_after")
+    return before.crossJoin(after).withColumn("copies_removed", copies)
+
+
 def _line(table: str, check: str, column: str, count) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),
@@ -46,8 +70,10 @@ def _line(table: str, check: str, column: str, count) -> Column:
 
 
 def _row_checks(spec: TableSpec, df: DataFrame) -> DataFrame:
-    """Required columns and allowed values, all in one pass."""
+    """Required columns, lengths, ranges and allowed values, all in one pass."""
     counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in spec.required}
+    counts |= {("length", c): F.count_if(F.length(c) > most) for c, most in spec.lengths.items()}
+    counts |= {("range", c): F.count_if(F.abs(c) >= bound) for c, bound in spec.bounds.items()}
     counts |= {("check", c): F.count_if(~F.col(c).isin(*values)) for c, values in spec.domains.items()}
     one = df.agg(*[value.alias(f"{check}_{c}") for (check, c), value in counts.items()])
     lines = F.array(*[_line(spec.name, check, c, F.col(f"{check}_{c}")) for check, c in counts])

@@ -11,9 +11,10 @@ FLAG, AMOUNT = "biometric_evasion_flag", "amount"
 
 
 def executive_metrics(df: DataFrame, flag: str = FLAG, amount: str = AMOUNT) -> DataFrame:
-    """Counts, amounts and their shares in one pass."""
+    """Counts, amounts and their shares in one pass. Amounts are added up as they are
+    (to ten decimals, exactly); an amount that is not a number counts as 0."""
     hit = is_true_text(F.col(flag))
-    money = F.coalesce(F.col(amount).cast("decimal(38,2)"), F.lit(0))
+    money = F.coalesce(F.expr(f"try_cast(`{amount}` as decimal(28,10))"), F.lit(0))
     totals = df.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(hit).alias("flagged_transactions"),
@@ -28,12 +29,16 @@ def executive_metrics(df: DataFrame, flag: str = FLAG, amount: str = AMOUNT) ->
 
 
 def top_flagged(df: DataFrame, rows: int = 10, flag: str = FLAG, amount: str = AMOUNT) -> DataFrame:
-    """The largest flagged amounts. Equal amounts keep the order of the input: by id
-    if there is one, else by row number, which then also serves as the label."""
-    order = "transaction_id"
-    if order not in df.columns:
-        df, order = with_row_number(df), "_row_number"
+    """The largest flagged amounts; one that is not a number counts as 0. Equal amounts
+    keep the order of the input: by row number where rows have one, else by id. Without an id
+    the row number also serves as the label."""
+    if "transaction_id" not in df.columns and "_row_number" not in df.columns:
+        df = with_row_number(df)
+    order = "_row_number" if "_row_number" in df.columns else "transaction_id"
+    if "transaction_id" not in df.columns:
         df = df.withColumn("transaction_id", F.concat(F.lit("Row "), F.col(order).cast("string")))
+    number = F.col(amount)
+    df = df.withColumn(amount, F.when(number.isNull() | F.isnan(number.cast("double")), 0).otherwise(number))
     if "timestamp" not in df.columns:
         df = df.withColumn("timestamp", F.lit(""))
     best = df.filter(is_true_text(F.col(flag)) & (F.col(amount) >= 0)).orderBy(F.desc(amount), order).limit(rows)

@@ -2,22 +2,23 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tracewell.sources.schemas import TableSpec
 from tracewell.sources.tables import conform
 
 
-def read_csv_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, spec: TableSpec, line_breaks: bool = False) -> DataFrame:
     """A raw CSV export. All values are read as text, found by header name, and then cast,
     so the files may leave out or reorder columns."""
-    return conform(read_csv_by_header(spark, path, required=[spec.key]), spec)
+    return conform(read_csv_by_header(spark, path, [spec.key], line_breaks), spec)
 
 
-def read_csv_by_header(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """CSV with a header in any order, case and padding; ValueError when a column is missing."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+def read_csv_by_header(spark: SparkSession, path: str, required: list[str], line_breaks: bool = False) -> DataFrame:
+    """CSV with a header in any order, case and padding; ValueError when a column is missing.
+
+    With line_breaks, quoted values may go over several lines; a file is then read by one task."""
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=line_breaks)
     named = raw.toDF(*[c.strip().lower() for c in raw.columns])
     for name in required:
         if name not in named.columns:
@@ -27,20 +28,29 @@ def read_csv_by_header(spark: SparkSession, path: str, required: list[str]) -> D
 
 def read_flagged_csv(spark: SparkSession, path: str) -> DataFrame:
     """Input of the executive report: `amount` and `biometric_evasion_flag` are required,
-    `transaction_id` and `timestamp` are used when they are there."""
-    df = read_csv_by_header(spark, path, ["amount", "biometric_evasion_flag"])
-    df = df.withColumn("amount", F.expr("try_cast(amount as double)"))
-    if "transaction_id" in df.columns:
-        df = df.withColumn("transaction_id", F.col("transaction_id").cast("long"))
-    return df
+    `transaction_id` (any text) and `timestamp` are used when they are there. Rows are
+    numbered in file order as `_row_number`."""
+    df = with_row_number(read_csv_by_header(spark, path, ["amount", "biometric_evasion_flag"]))
+    return df.withColumn("amount", F.expr("try_cast(amount as double)"))
 
 
 def read_jdbc_table(
-    spark: SparkSession, spec: TableSpec, options: dict[str, str], partition_column: str, bounds: tuple, partitions: int
+    spark: SparkSession,
+    spec: TableSpec,
+    options: dict[str, str],
+    partition_column: str = "",
+    bounds: tuple = (),
+    partitions: int = 8,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    """A database table in parallel slices. Address and credentials come with the options."""
+    """A database table in parallel slices: by ranges of a number or time column, or, for
+    tables with text keys, one slice per predicate. Address and credentials come with the options."""
+    table = options.get("dbtable", spec.name)
+    if predicates:
+        rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return conform(spark.read.jdbc(options["url"], table, predicates=predicates, properties=rest), spec)
     low, high = bounds
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", options.get("dbtable", spec.name))
+    reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
     reader = reader.option("partitionColumn", partition_column).option("numPartitions", partitions)
     return conform(reader.option("lowerBound", low).option("upperBound", high).load(), spec)
 
@@ -48,8 +58,8 @@ def read_jdbc_table(
 def with_row_number(df: DataFrame, first: int = 2) -> DataFrame:
     """Number rows in file order; the first data row below a header is row 2.
 
-    Each task numbers its own rows; the tasks' row counts, one small row each, give the
-    offsets."""
+    Each task numbers its own rows; the tasks' row counts, one small row per input split, give
+    the offsets. For these the input is read a second time."""
     numbered = df.withColumn("_at", F.monotonically_increasing_id())
     task, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = numbered.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -58,7 +68,3 @@ def with_row_number(df: DataFrame, first: int = 2) -> DataFrame:
     joined = numbered.withColumn("_task", task).join(F.broadcast(offsets), "_task")
     return joined.withColumn("_row_number", F.col("_offset") + inside + first).drop("_task", "_at", "_offset")
 
-
-def from_rows(spark: SparkSession, rows: list, schema: T.StructType | str) -> DataFrame:
-    """A small table from values at hand."""
-    return spark.createDataFrame(rows, schema)

@@ -18,6 +18,9 @@ class TableSpec:
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     references: dict[str, str] = field(default_factory=dict)
     defaults: dict[str, str] = field(default_factory=dict)
+    lengths: dict[str, int] = field(default_factory=dict)
+    # The size that numbers stay below where the column here is wider than the declared one.
+    bounds: dict[str, int] = field(default_factory=dict)
 
     @property
     def required(self) -> list[str]:
@@ -28,6 +31,7 @@ def _table(*columns: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, not required) for name, kind, required in columns])
 
 
+# Column names, types, lengths, allowed values and defaults of the four tables.
 USERS = TableSpec(
     name="users",
     schema=_table(
@@ -48,6 +52,15 @@ USERS = TableSpec(
     ),
     key="user_id",
     unique=("email", "phone"),
+    lengths={
+        "full_name": 100,
+        "email": 255,
+        "phone": 20,
+        "home_city": 50,
+        "home_country": 50,
+        "kyc_status": 20,
+        "risk_tier": 10,
+    },
     domains={
         "kyc_status": ("pending", "verified", "rejected", "expired"),
         "risk_tier": ("low", "medium", "high"),
@@ -77,6 +90,13 @@ BENEFICIARIES = TableSpec(
         ("is_mule_flagged", BOOL, True),
     ),
     key="beneficiary_id",
+    lengths={
+        "beneficiary_name": 100,
+        "beneficiary_phone": 20,
+        "beneficiary_bank_account": 50,
+        "beneficiary_bank_code": 20,
+        "beneficiary_country": 50,
+    },
     defaults={
         "beneficiary_id": "uuid()",
         "beneficiary_bank_code": "'INTERNAL'",
@@ -106,6 +126,14 @@ LOGINS = TableSpec(
         ("session_duration_minutes", INT, False),
     ),
     key="auth_id",
+    lengths={
+        "device_id": 255,
+        "ip_address": 45,
+        "ip_geolocation_country": 50,
+        "ip_geolocation_city": 50,
+        "os_type": 20,
+        "browser_fingerprint": 255,
+    },
     references={"user_id": "users"},
     defaults={
         "auth_id": "uuid()",
@@ -146,6 +174,8 @@ TRANSACTIONS = TableSpec(
         ("chargeback_reported_at", TIME, False),
     ),
     key="transaction_id",
+    lengths={"channel": 20, "merchant_country": 50, "status": 20, "final_decision": 20, "reviewed_by": 50},
+    bounds={"transaction_balance_ratio": 10},
     references={"user_id": "users", "beneficiary_id": "beneficiaries"},
     defaults={
         "transaction_id": "uuid()",

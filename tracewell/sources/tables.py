@@ -31,17 +31,25 @@ class Tables:
         }
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+# Defaults that are another value on each evaluation: only a write may use them.
+VOLATILE = ("uuid()", "localtimestamp()")
+
+
+def conform(df: DataFrame, spec: TableSpec, inserting: bool = False) -> DataFrame:
     """Project to the table's columns; columns the load leaves out get their default.
 
     A column that is present keeps its NULLs, as an insert with an explicit NULL would.
-    Ids keep the type they arrive with (text or whole numbers).
+    Ids keep the type they arrive with (text or whole numbers). New ids and the time of
+    loading are given only when inserting, where each row is evaluated once; ValueError
+    when a table that is read lacks such a column.
     """
     present = df.schema
     columns = []
     for field in spec.schema:
         name, kind = field.name, field.dataType.simpleString()
         if name not in present.names:
+            if spec.defaults.get(name) in VOLATILE and not inserting:
+                raise ValueError(f"Column '{name}' of {spec.name} not found.")
             columns.append(f"cast({spec.defaults.get(name, 'null')} as {kind}) as `{name}`")
         elif name in ID_COLUMNS and isinstance(present[name].dataType, T.IntegralType):
             columns.append(f"`{name}`")

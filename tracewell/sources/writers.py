@@ -1,5 +1,6 @@
 """Writers for tables, marts, CSV exports and databases."""
 
+from tempfile import mkdtemp
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,14 @@ from tracewell.sources.tables import Tables, conform
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Replace a Parquet table as a whole."""
+    """Write a Parquet table in place of what is at the path. If the job fails, the former
+    table is gone; plans.pipeline.run keeps it by writing each run to a folder of its own."""
     df.write.mode("overwrite").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Bulk insert: left-out columns get their defaults, ids included."""
-    conform(df, spec).write.mode("append").parquet(path)
+    conform(df, spec, inserting=True).write.mode("append").parquet(path)
 
 
 def write_mart(df: DataFrame, path: str, date_partitions: bool = False) -> None:
@@ -58,15 +60,17 @@ def export_raw_csv(tables: Tables, folder: str) -> None:
 
 def write_jdbc_table(df: DataFrame, spec: TableSpec, options: dict[str, str], partitions: int = 8) -> None:
     """Append to a database table over a bounded number of connections."""
-    writer = conform(df, spec).coalesce(partitions).write.format("jdbc").options(**options)
+    writer = conform(df, spec, inserting=True).repartition(partitions).write.format("jdbc").options(**options)
     writer.option("dbtable", options.get("dbtable", spec.name)).mode("append").save()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder that the session names for checkpoints."""
+    """A fresh folder below the shared folder that the session names for checkpoints. Without
+    one, a local session gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "/tmp/tracewell"
+        base = mkdtemp()
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
