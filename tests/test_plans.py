@@ -41,7 +41,7 @@ def exchanges(text: str) -> list[str]:
 
 
 # Single aggregate rows side by side, and writes that happen while the query is built.
-JOINED_TOTALS = {"clean_report", "port_repair_counts", "clean_repair_counts", "mart_preview_rows"}
+JOINED_TOTALS = {"port_repair_counts", "clean_repair_counts", "mart_preview_rows"}
 WRITERS = {"io_csv_roundtrip", "io_report_csv", "io_parquet_marts", "io_append_defaults", "io_staged_run"}
 
 
