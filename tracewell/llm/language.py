@@ -143,7 +143,8 @@ def fit(docs: DataFrame, fit_rows: int = 800, most_languages: int = 256, epochs:
             at, counts = n_grams(text)
             yield place, lang, at.astype("<i4").tobytes(), counts.astype("<i4").tobytes()
 
-    found = map_rows(chosen.select("place", "lang", "text"), rows, "place long, lang string, at binary, counts binary", 64).collect()
+    found = map_rows(chosen.select("place", "lang", "text"), rows, "place long, lang string, at binary, counts binary", 64)
+    found = found.limit(2 * fit_rows * len(languages)).collect()  # reached only where rows repeat a doc_id
     found.sort(key=lambda r: (r["place"] * 0x9E3779B1 % spread, r["lang"], r["at"], r["counts"]))
     examples = []
     for r in found:
