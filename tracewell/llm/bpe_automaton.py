@@ -27,7 +27,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 
 from .common import doc_texts, map_rows
-from .tokens import NOT_PLAIN, Remembered, byte_letters, split_at_spaces, vocabulary_path
+from .tokens import Remembered, byte_letters, plain, split_at_spaces, vocabulary_path
 
 #: Unicode white space, as the vocabulary's patterns mean it.
 SPACES = "\t\n\v\f\r \x85\xa0  -     　"
@@ -138,7 +138,7 @@ class Coder:
     def word(self, word: str) -> tuple[str, str, int]:
         """Decimal ids and labels, each joined by spaces, and their number."""
         ids: list[int] = []
-        if word.isalpha() and not NOT_PLAIN.search(word):
+        if word.isalpha() and plain(word):
             ids += self.paths[word.lower()]
         else:
             for k, part in enumerate(self.at_special.split(word) if self.at_special else [word]):
@@ -183,7 +183,7 @@ class Words(Remembered):
         self.coder = coder
 
     def compute(self, word: str) -> tuple:
-        if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha() and not NOT_PLAIN.search(word):
+        if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha() and plain(word):
             (a, b, n), (c, d, m) = self[word[:-1]], self[word[-1]]
             return a + " " + c, b + " " + d, n + m
         known = self.coder.word(word)

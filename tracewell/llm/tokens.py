@@ -24,6 +24,10 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def plain(text: str) -> bool:
+    return text.isascii() or not NOT_PLAIN.search(text)
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -79,9 +83,9 @@ class WordIds(Remembered):
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def compute(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in self.tails and word[:-1].isalpha() and not NOT_PLAIN.search(word):
+        if len(word) > 1 and word[-1] in self.tails and word[:-1].isalpha() and plain(word):
             return self[word[:-1]] + self.tails[word[-1]]
-        if word.isalpha() and word.islower() and not NOT_PLAIN.search(word):  # its own normal form and one piece
+        if word.isalpha() and word.islower() and plain(word):  # its own normal form and one piece
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
             return array.array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         return self.whole(word)
@@ -89,7 +93,7 @@ class WordIds(Remembered):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = None if "<|" in text else split_at_spaces(text if NOT_PLAIN.search(text) else text.lower())
+        words = None if "<|" in text else split_at_spaces(text.lower() if plain(text) else text)
         if words is None:
             return self.whole(text)
         self.age()
