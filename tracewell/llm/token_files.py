@@ -26,7 +26,7 @@ BLOCK_IDS = 65_536
 CHUNKS = "part int, chunk int, first long, n_ids int, data binary, docs array<struct<no: long, doc_id: long, at: int, n: int, start: long, total: long>>"
 
 
-def pack_chunk(ids: np.ndarray, planes: str = "byte", level: int = 3) -> bytes:
+def pack_chunk(ids: np.ndarray, planes: str = "byte", level: int = 1) -> bytes:
     """Header (magic, kind of planes, number of ids, compressed bytes of each plane), then the planes.
 
     Byte planes: plane k holds byte k of every id. Bit planes: plane k holds bit k of every id. Planes of

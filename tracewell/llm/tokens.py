@@ -13,7 +13,7 @@ import re
 from functools import lru_cache
 
 #: Words of a generation; a worker remembers two.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000
 #: Texts with these are not lower-cased here: combining marks and letters whose case mapping depends on them.
 NOT_PLAIN = re.compile("[İ̀-\U0010ffff]")
 
