@@ -192,6 +192,12 @@ def test_rule_counts(spark, sf_dir, edge_docs):
         assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and r.kept != r.base_failed for r in got)
 
 
+def test_lines_of_form_feeds_are_blank_and_lines_of_f_are_not(spark):
+    texts = ["\f\none\n\f\ntwo\n \f\v", "f\nff \nf\nff \none", "\fone\n\fone"]
+    got = rules.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []).select("doc_id", "n_dup_lines").collect()
+    assert dict(got) == {0: 0, 1: 2, 2: 1}
+
+
 def test_rules_reject_what_labels_call_bad(labelled):
     docs, labels, truth = labelled
     learned = rules.fit(docs, labels)

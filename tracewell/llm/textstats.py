@@ -18,7 +18,7 @@ def basic_stats(texts: DataFrame) -> DataFrame:
     """texts with columns text (not null) and others; adds words and lines and what is counted from them, as longs."""
     split = texts.withColumns({
         "words": F.expr(f"filter(split(text, r'{SPACE}'), w -> w <> '')"),
-        "lines": F.expr(r"filter(split(text, '\n'), l -> btrim(l, ' \t\n\u000b\f\r') <> '')"),
+        "lines": F.expr(r"filter(split(text, '\n'), l -> btrim(l, ' \t\n\u000b\u000c\r') <> '')"),
     })
     counted = {
         "n_words": "size(words)",
