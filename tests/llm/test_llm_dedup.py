@@ -94,6 +94,18 @@ def test_one_document_of_each_group_stays(edge_docs, empty_docs):
     assert simhash.digest(empty_docs).count() == simhash.kept(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("kept", [simhash.kept])
+def test_rows_that_repeat_a_doc_id_are_documents_of_their_own(spark, kept):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    for rows, want in (
+        ([(5, a), (5, b), (9, b + " end")], {(5, a), (5, b)}),
+        ([(3, a), (5, a), (5, b)], {(3, a), (5, b)}),
+        ([(5, a), (5, b), (4, b), (5, c), (5, c)], {(5, a), (4, b), (5, c)}),
+    ):
+        got = [tuple(r) for r in kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def plain_removal(texts, width):
     seen = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
     out = []

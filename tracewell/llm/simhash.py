@@ -170,11 +170,29 @@ def digest(docs: DataFrame) -> DataFrame:
     return clusters(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def kept(docs: DataFrame) -> DataFrame:
-    """docs without near copies: of each component the document with the smallest doc_id stays, in one row.
+def text_nodes(docs: DataFrame) -> DataFrame:
+    """node and text of each row: the text's 64-bit hash, under which equal texts are one; a null text counts as empty."""
+    return docs.select(F.col("text").cast("string").alias("text")).select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
+
+
+def survivors(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """One row of docs for each component, given the root of each node (see `text_nodes`) that is linked to others.
 
-    Rows without a doc_id stay only where no row of their component has one; of equal rows one stays.
+    The row with the smallest doc_id stays; of several, that with the smallest hash of its text and then of
+    its columns.
     """
-    found = clusters(docs).select("component_id").distinct()
-    named = docs.filter("doc_id is not null")
-    return named.join(found, F.col("doc_id").cast("long") == found.component_id, "left_semi").dropDuplicates(["doc_id"])
+    node = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    hashable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    row = F.xxhash64(*hashable, *(c.isNull() for c in hashable))
+    marked = docs.filter("doc_id is not null").select(F.struct(*docs.columns).alias("doc"), node.alias("node"), row.alias("row"))
+    nodes = marked.groupBy("node").agg(F.expr("min(struct(doc.doc_id is null, cast(doc.doc_id as long), node, row))").alias("least"))
+    rooted = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.node", "least.row")
+    return marked.join(chosen, ["node", "row"], "left_semi").dropDuplicates(["node", "row"]).select("doc.*")
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """docs without near copies by op8's fingerprints: of each component one row stays (see `survivors`)."""
+    texts = text_nodes(docs).withColumnRenamed("node", "doc_id")
+    same = clusters(texts).groupBy("doc_id").agg(F.min("component_id").alias("root"))
+    return survivors(docs, same.select(F.col("doc_id").alias("node"), "root"))
