@@ -106,6 +106,14 @@ def test_rows_that_repeat_a_doc_id_are_documents_of_their_own(spark, kept):
         assert len(got) == len(want) and set(got) == want
 
 
+@pytest.mark.parametrize("kept", [simhash.kept])
+def test_documents_without_doc_id_stay(spark, kept):
+    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    for rows, want in (([(None, a), (None, a), (None, b)], {(None, a), (None, b)}), ([(None, a), (7, a), (None, b)], {(7, a), (None, b)})):
+        got = [tuple(r) for r in kept(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def plain_removal(texts, width):
     seen = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
     out = []

@@ -178,13 +178,13 @@ def text_nodes(docs: DataFrame) -> DataFrame:
 def survivors(docs: DataFrame, roots: DataFrame) -> DataFrame:
     """One row of docs for each component, given the root of each node (see `text_nodes`) that is linked to others.
 
-    The row with the smallest doc_id stays; of several, that with the smallest hash of its text and then of
-    its columns.
+    The row with the smallest doc_id stays, one without a doc_id only where its component has no other; of
+    several, that with the smallest hash of its text and then of its columns.
     """
     node = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     hashable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     row = F.xxhash64(*hashable, *(c.isNull() for c in hashable))
-    marked = docs.filter("doc_id is not null").select(F.struct(*docs.columns).alias("doc"), node.alias("node"), row.alias("row"))
+    marked = docs.select(F.struct(*docs.columns).alias("doc"), node.alias("node"), row.alias("row"))
     nodes = marked.groupBy("node").agg(F.expr("min(struct(doc.doc_id is null, cast(doc.doc_id as long), node, row))").alias("least"))
     rooted = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
     chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.node", "least.row")
