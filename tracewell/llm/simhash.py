@@ -18,20 +18,25 @@ SHINGLES_AT_A_TIME = 8192
 RING = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """Bits that are set in over half the XXH64 of the text's shingles, repeats included; zero without words."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of each of the text's shingles, repeats included; of all words where there are no more than `width`."""
     import xxhash
 
     words = (text or "").encode().lower().split()  # of bytes: only A to Z, and only ASCII white space
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     hash64 = xxhash.xxh64_intdigest
     if len(words) <= width:
-        return hash64(b" ".join(words), SEED)
+        return np.array([hash64(b" ".join(words), SEED)], "<u8")
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[: -width] + 1]).tolist()
-    hashes = np.fromiter((hash64(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)), "<u8", len(starts))
+    return np.fromiter((hash64(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)), "<u8", len(starts))
+
+
+def fingerprint(text: str | None, width: int = 4) -> int:
+    """Bits that are set in over half the XXH64 of the text's shingles, repeats included; zero without words."""
+    hashes = shingle_hashes(text, width)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), SHINGLES_AT_A_TIME):
         counts += np.unpackbits(hashes[at : at + SHINGLES_AT_A_TIME].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
