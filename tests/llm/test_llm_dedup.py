@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tracewell.llm import near_copies, simhash, suffix_dedup
+from tracewell.llm import simhash, suffix_dedup
 from tracewell.llm.components import components
 from tracewell.llm.suffix_sort import repeated
 
@@ -86,65 +86,39 @@ def test_components_of_a_long_chain(spark):
     assert dict(components(edges).collect()) == dict.fromkeys(range(n), 0) | {1000: 1000, 1001: 1000}
 
 
-def test_one_document_of_each_group_stays(edge_docs, empty_docs):
-    rows = simhash.kept(edge_docs).collect()
-    want = {r[2] for r in plain_clusters([(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()])}
-    assert sorted(r.doc_id for r in rows) == sorted(want - {None})
-    assert simhash.kept(edge_docs).columns == edge_docs.columns
+def plain_kept(rows):
+    """One row of each component: the smallest doc_id, none only where there is no other."""
+    fps = np.array([plain_fingerprint(t) for _, t in rows], np.uint64)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    of = roots(len(rows), zip(*np.nonzero(np.triu(near, 1)), strict=True))
+    groups = {}
+    for row, r in zip(rows, of, strict=True):
+        groups.setdefault(r, []).append(row)
+    return [min((d is None, d or 0) for d, _ in g) for g in groups.values()]
+
+
+def test_one_document_of_each_group_stays(spark, sf_dir, edge_docs, empty_docs):
+    for docs in (edge_docs, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        rows, kept = docs.collect(), simhash.kept(docs)
+        got = kept.collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted(plain_kept([(r.doc_id, r.text) for r in rows]))
+        assert kept.columns == docs.columns and set(got) <= set(rows)
     assert simhash.digest(empty_docs).count() == simhash.kept(empty_docs).count() == 0
 
 
-@pytest.mark.parametrize("kept", [simhash.kept, near_copies.kept])
-def test_rows_that_repeat_a_doc_id_are_documents_of_their_own(spark, kept):
+def test_rows_that_repeat_a_doc_id_are_documents_of_their_own(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
     for rows, want in (
         ([(5, a), (5, b), (9, b + " end")], {(5, a), (5, b)}),
         ([(3, a), (5, a), (5, b)], {(3, a), (5, b)}),
         ([(5, a), (5, b), (4, b), (5, c), (5, c)], {(5, a), (4, b), (5, c)}),
+        ([(None, a), (None, a), (None, b)], {(None, a), (None, b)}),
+        ([(None, a), (7, a), (None, b)], {(7, a), (None, b)}),
     ):
-        got = [tuple(r) for r in kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
-        assert len(got) == len(want) and set(got) == want
-
-
-@pytest.mark.parametrize("kept", [simhash.kept, near_copies.kept])
-def test_documents_without_doc_id_stay(spark, kept):
-    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
-    for rows, want in (([(None, a), (None, a), (None, b)], {(None, a), (None, b)}), ([(None, a), (7, a), (None, b)], {(7, a), (None, b)})):
-        got = [tuple(r) for r in kept(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        got = [tuple(r) for r in simhash.kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
         assert len(got) == len(want) and set(got) == want
 
 
-def plain_near(texts, width=5):
-    def shingles(text):
-        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-        return {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-
-    sets = [shingles(t) for t in texts]
-    return [(i, j) for j in range(len(sets)) for i in range(j) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
-
-
-@pytest.mark.parametrize("edited", [True, False])
-def test_near_copies_stage_against_brute_force(spark, sf_dir, edited):
-    if edited:
-        r = random.Random(5)
-        texts = []
-        for k in range(40):
-            words = [f"w{r.randrange(3000)}" for _ in range(r.randrange(30, 300))]
-            texts.append(" ".join(words))
-            for _ in range(r.randrange(6)):
-                w = list(words)
-                for _ in range(r.randrange(1, 2 + len(words) // 40)):
-                    w[r.randrange(len(w))] = f"x{r.randrange(3000)}"
-                texts.append(" ".join(w))
-        texts += ["", None, "one", "One", "one two three"]
-    else:
-        texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
-    of = roots(len(texts), plain_near(texts))
-    want = sorted(min(i for i in range(len(texts)) if of[i] == k) for k in set(of))
-    got = near_copies.kept(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()
-    assert sorted(r.doc_id for r in got) == want and all(r.text == texts[r.doc_id] for r in got)
-
-
 def plain_removal(texts, width):
     seen = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
     out = []

@@ -175,29 +175,33 @@ def digest(docs: DataFrame) -> DataFrame:
     return clusters(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def text_nodes(docs: DataFrame) -> DataFrame:
-    """node and text of each row: the text's 64-bit hash, under which equal texts are one; a null text counts as empty."""
-    return docs.select(F.col("text").cast("string").alias("text")).select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
-
-
-def survivors(docs: DataFrame, roots: DataFrame) -> DataFrame:
-    """One row of docs for each component, given the root of each node (see `text_nodes`) that is linked to others.
+def kept(docs: DataFrame, width: int = 4) -> DataFrame:
+    """docs without near copies: of each component of fingerprints (see `clusters`) one row stays, whole and as it was.
 
     The row with the smallest doc_id stays, one without a doc_id only where its component has no other; of
-    several, that with the smallest hash of its text and then of its columns.
+    several, that with the smallest hash of its columns, and one of rows that are alike. Texts without words
+    (null ones too) have fingerprint zero and are copies of each other. Only fingerprints and hashes are
+    compared; the texts move once, to meet the rows chosen.
     """
-    node = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    hashable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    row = F.xxhash64(*hashable, *(c.isNull() for c in hashable))
-    marked = docs.select(F.struct(*docs.columns).alias("doc"), node.alias("node"), row.alias("row"))
-    nodes = marked.groupBy("node").agg(F.expr("min(struct(doc.doc_id is null, cast(doc.doc_id as long), node, row))").alias("least"))
-    rooted = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
-    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.node", "least.row")
-    return marked.join(chosen, ["node", "row"], "left_semi").dropDuplicates(["node", "row"]).select("doc.*")
-
-
-def kept(docs: DataFrame) -> DataFrame:
-    """docs without near copies by op8's fingerprints: of each component one row stays (see `survivors`)."""
-    texts = text_nodes(docs).withColumnRenamed("node", "doc_id")
-    same = clusters(texts).groupBy("doc_id").agg(F.min("component_id").alias("root"))
-    return survivors(docs, same.select(F.col("doc_id").alias("node"), "root"))
+    hashable = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    values = [*hashable, *(c.isNull() for c in hashable)]
+    marked = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(*values).alias("r1"),
+        F.xxhash64(F.lit(1), *values).alias("r2"),
+    )
+
+    def rows(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, r1, r2, text in rows:
+            fp = fingerprint(text, width)
+            yield doc_id, r1, r2, fp - (1 << 64) if fp >> 63 else fp
+
+    texts = marked.select("id", "r1", "r2", F.col("doc.text").cast("string").alias("text"))
+    prints = stored(map_rows(texts, rows, "id long, r1 long, r2 long, fp long"), "fingerprints")
+    least = stored(prints.groupBy("fp").agg(F.expr("min(struct(id is null, id, r1, r2))").alias("least")), "nodes")
+    roots = components(links(least.select("fp")))
+    rooted = least.join(roots, least.fp == roots.node, "left").select(F.coalesce("root", "fp").alias("root"), "least")
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.r1", "least.r2")
+    # Rows with equal hashes are alike, so they are in one component, and one of them stays.
+    return marked.join(stored(chosen, "chosen"), ["r1", "r2"], "left_semi").dropDuplicates(["r1", "r2"]).select("doc.*")
