@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import near_copies, packing, pii, quality, suffix_dedup
+from tracewell.llm import packing, pii, quality, simhash, suffix_dedup
 from tracewell.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,8 +18,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles are similar by 0.8 or more, that with the smallest doc_id."""
-    return near_copies.kept(docs)
+    """One document of each group that fingerprints link (four words, at most 4 of 64 bits), that with the smallest doc_id.
+
+    Documents without words (null and empty texts too) are one group.
+    """
+    return simhash.kept(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
