@@ -1,5 +1,6 @@
-"""Packing, the tokenization automaton and token files, against the tokenizers library."""
+"""Packing, the tokenization automaton, merge replay and token files, against the tokenizers and tiktoken libraries."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -7,10 +8,12 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pytest
+import tiktoken
 from tokenizers import Tokenizer
 
-from tracewell.llm import bpe_automaton, packing, token_files
+from tracewell.llm import bpe_automaton, byte_bpe, packing, token_files
 from tracewell.llm.common import new_path
 from tracewell.llm.tokens import vocabulary_path, word_ids
 
@@ -158,3 +161,67 @@ def test_token_files_digest_and_empty_table(spark, sf_dir, empty_docs, tokenizer
     folder = new_path(spark, "test-files")
     token_files.write_token_files(empty_docs, folder)
     assert token_files.read_token_files(spark, folder).count() == 0
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(vocabulary_path(byte_bpe.RANKS), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def replayed(texts):
+    return [([int(i) for i in ids.split(",")] if ids else [], back) for ids, back in byte_bpe.coder(vocabulary_path(byte_bpe.RANKS)).block(texts)]
+
+
+def test_replay_gives_the_librarys_ids(library):
+    r = random.Random(3)
+    letters = "aAbB 's'tn'll  \t\n\r\x0b\x0c\x1c\x1f\x85\xa0 　​éß漢字한글0١²ªŉ\U0001f600‍the ing and  0123.,!?()"
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(5000)]
+    texts += ["", "a" * 5000, "ab" * 3000, " " * 900, "\n" * 77, "the" * 500, "".join(r.choice("abcde") for _ in range(20_000)), "<|endoftext|>"]
+    for text, (ids, back) in zip(texts, replayed(texts), strict=True):
+        assert ids == library.encode_ordinary(text) and back == text.encode(), text
+
+
+def test_replay_cuts_every_character_as_the_library_does(library):
+    for begin in range(0, 0x110000, 1 << 14):
+        texts = [f"a{chr(x)}b {chr(x)}1{chr(x)} {chr(x)}{chr(x)}" for x in range(begin, begin + (1 << 14)) if not 0xD800 <= x < 0xE000]
+        assert [ids for ids, _ in replayed(texts)] == library.encode_ordinary_batch(texts, num_threads=4)
+
+
+def test_replay_of_merges_that_go_back_in_rank(tmp_path):
+    """A merge can make a pair of lower rank; then that one goes first in its word."""
+    r = random.Random(7)
+    for _ in range(150):
+        tokens = {bytes([b]) for b in range(256)}
+        extra = {bytes(r.choice(b"abc") for _ in range(r.randrange(2, 6))) for _ in range(r.randrange(1, 25))}
+        ranked = [*sorted(tokens), *r.sample(sorted(extra), len(extra))]
+        file = tmp_path / "ranks"
+        file.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(ranked)))
+        own = byte_bpe.Ranks(str(file))
+        theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(ranked)}, special_tokens={})
+        words = ["".join(r.choice("abc") for _ in range(r.randrange(1, 40))) for _ in range(30)]
+        assert own.replay([w.encode() for w in words]) == [theirs.encode_ordinary(w) for w in words]
+
+
+@pytest.mark.parametrize("block", [1 << 20, 300])
+def test_byte_bpe_of_tables(spark, sf_dir, edge_docs, empty_docs, library, block):
+    for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet"), edge_docs):
+        want = []
+        for r in docs.select("doc_id", "text").collect():
+            ids = library.encode_ordinary(r.text or "")
+            want.append((r.doc_id or 0, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
+        got = [(r.doc_id or 0, *tuple(r)[1:]) for r in byte_bpe.digest(docs, block=block).collect()]
+        assert sorted(got) == sorted(want)
+    assert byte_bpe.digest(empty_docs).count() == 0
+
+
+def test_byte_bpe_parts_and_decoding(spark, edge_docs, library):
+    rows = byte_bpe.encoded(edge_docs.filter("doc_id in (4, 5, 8)"), block=5000).collect()
+    texts = {r.doc_id: r.text or "" for r in edge_docs.filter("doc_id in (4, 5, 8)").collect()}
+    for doc_id, text in texts.items():
+        mine = sorted((r for r in rows if r.doc_id == doc_id), key=lambda r: r.part)
+        assert [r.part for r in mine] == list(range(len(mine))) and (len(mine) > 1) == (doc_id == 5)
+        assert [i for r in mine for i in r.ids] == library.encode_ordinary(text) and b"".join(bytes(r.decoded) for r in mine) == text.encode()
+    back = byte_bpe.decoded(spark.createDataFrame([(1, library.encode_ordinary("brown é fox")), (2, []), (3, None)], "doc_id long, ids array<int>")).collect()
+    assert [bytes(r.decoded) for r in sorted(back)] == ["brown é fox".encode(), b"", b""]

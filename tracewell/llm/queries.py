@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, language, packing, pii, quality, rules, simhash, suffix_dedup, token_files, topk
+from . import bpe_automaton, byte_bpe, language, merkle, packing, pii, prefix_trie, quality, rules, simhash, suffix_dedup, token_files, topk
 from .common import new_path
 
 
@@ -57,6 +57,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, folder))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -68,5 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_rules": op9_rules,
     "op10_token_files": op10_token_files,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-CHECKS: dict[str, str] = {"op4_top_k": topk.CHECK}
+CHECKS: dict[str, str] = {"op4_top_k": topk.CHECK, "op11_prefix_trie": prefix_trie.CHECK, "op13_merkle_manifest": merkle.CHECK}
