@@ -17,11 +17,11 @@ import base64
 import hashlib
 import heapq
 import re
-from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import doc_texts, map_rows
@@ -37,6 +37,10 @@ CHUNKS = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 #: A space between other characters begins a word.
 CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
 
+#: Below this, what is a letter has not changed for many versions of Unicode.
+OLD = "\u0530"
+LETTERS_END = (".", ",")
+
 
 class Ranks:
     """The vocabulary of a rank file: each token's rank is its id, and the order in which merges are applied."""
@@ -54,61 +58,74 @@ class Ranks:
                 left, right = self.ids.get(token[:cut]), self.ids.get(token[cut:])
                 if left is not None and right is not None:
                     self.merges[left * self.size + right] = i
+        self.of_bytes = np.array([[self.ids.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word; of none, for an empty one."""
         ids, merges, size = self.ids, self.merges, self.size
         found = [[ids[w]] if w in ids else None for w in words]
         parted = [w for w, whole in zip(words, found, strict=True) if whole is None]
-        tokens = list(map(self.letters.__getitem__, b"".join(parted)))
-        starts = [0]
-        for w in parted:
-            starts.append(starts[-1] + len(w))
-        before, after = list(range(-1, len(tokens) - 1)), list(range(1, len(tokens) + 1))
-        for a, b in pairwise(starts):
-            if a < b:
-                before[a] = after[b - 1] = -1
-
-        index: dict[int, list[int]] = {}
-        for at, follower in enumerate(after):
-            if follower >= 0 and (rank := merges.get(tokens[at] * size + tokens[follower])) is not None:
-                index.setdefault(rank, []).append(at)
+        data = np.frombuffer(b"".join(parted), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(w) for w in parted], dtype=np.int64)])
+        last = bounds[1:][np.diff(bounds) > 0] - 1
+
+        # Of each position: its token, its neighbours, and the rank of what it and the next one make.
+        before, after = np.arange(-1, len(data) - 1), np.arange(1, len(data) + 1)
+        after[last] = -1
+        before[(last + 1)[:-1]] = -1
+        pair = np.full(len(data), -1, np.int32)
+        pair[:-1] = self.of_bytes[data[:-1], data[1:]]
+        pair[last] = -1
+        pairs = np.flatnonzero(pair >= 0)
+        order = pairs[np.argsort(pair[pairs], kind="stable")]
+        ranks, starts = np.unique(pair[order], return_index=True)
+        index = dict(zip(ranks.tolist(), (p.tolist() for p in np.split(order, starts[1:])), strict=False)) if len(ranks) else {}
+        tokens = np.array(self.letters, np.int64)[data].tolist()
+        before, after, pair, joins = before.tolist(), after.tolist(), pair.tolist(), merges.get
         waiting = list(index)
         heapq.heapify(waiting)
-
-        def enter(rank: int, at: int) -> None:
-            if rank in index:
-                index[rank].append(at)
-            else:
-                index[rank] = [at]
-                heapq.heappush(waiting, rank)
-
         while waiting:
             rank = heapq.heappop(waiting)
-            positions = sorted(set(index.pop(rank)))
-            blocked = -1
-            for at in positions:
-                if at < blocked:  # a pair of lower rank has come up in this word and goes first
-                    enter(rank, at)
-                    continue
-                follower = after[at]
-                if tokens[at] < 0 or follower < 0 or merges.get(tokens[at] * size + tokens[follower]) != rank:
+            positions = index.pop(rank)
+            positions.sort()
+            for done, at in enumerate(positions, 1):
+                if pair[at] != rank:
                     continue  # merged away meanwhile
-                tokens[at], tokens[follower] = rank, -1
-                right, left = after[follower], before[at]
-                after[at] = right
+                follower, left = after[at], before[at]
+                right = after[at] = after[follower]
+                tokens[at], tokens[follower], pair[follower] = rank, -1, -1
                 lowest = rank
+                new = None
                 if right >= 0:
                     before[right] = at
-                    if (new := merges.get(rank * size + tokens[right])) is not None:
-                        enter(new, at)
-                        lowest = min(lowest, new)
-                if left >= 0 and (new := merges.get(tokens[left] * size + rank)) is not None:
-                    enter(new, left)
-                    lowest = min(lowest, new)
-                if lowest < rank:
-                    blocked = starts[bisect_right(starts, at)]
-        ends = pairwise(starts)
+                    new = joins(rank * size + tokens[right])
+                if new is None:
+                    pair[at] = -1
+                else:
+                    pair[at] = new
+                    if (others := index.get(new)) is None:
+                        index[new] = [at]
+                        heapq.heappush(waiting, new)
+                    else:
+                        others.append(at)
+                    lowest = new if new < lowest else lowest
+                if left >= 0:
+                    new = joins(tokens[left] * size + rank)
+                    if new is None:
+                        pair[left] = -1
+                    else:
+                        pair[left] = new
+                        if (others := index.get(new)) is None:
+                            index[new] = [left]
+                            heapq.heappush(waiting, new)
+                        else:
+                            others.append(left)
+                        lowest = new if new < lowest else lowest
+                if lowest < rank:  # a pair of lower rank has come up and goes first
+                    index[rank] = positions[done:]
+                    heapq.heappush(waiting, rank)
+                    break
+        ends = pairwise(bounds.tolist())
         return [whole if whole is not None else [t for t in tokens[slice(*next(ends))] if t >= 0] for whole in found]
 
 
@@ -123,9 +140,16 @@ class Coder(Remembered):
         self.ranks = Ranks(path)
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
 
+    def cut(self, chunk: str) -> list[str]:
+        """The pattern's matches in a chunk; letters of old alphabets, also before a full stop or comma, need no search."""
+        letters = chunk[1:] if chunk[0] == " " else chunk
+        if letters[-1:] in LETTERS_END and letters[:-1].isalpha() and max(letters) < OLD:
+            return [chunk[:-1], chunk[-1]]
+        return [chunk] if letters.isalpha() and max(letters) < OLD else self.pieces(chunk)
+
     def learn(self, chunks: Iterable[str]) -> None:
         """Replay what is not known yet, all of it together."""
-        new = {c: self.pieces(c) for c in set(chunks) if c not in self and c not in self.older}
+        new = {c: self.cut(c) for c in set(chunks) if c not in self and c not in self.older}
         words = list({w: None for pieces in new.values() for w in pieces if w not in self and w not in self.older})
         tokens = self.ranks.tokens
         for word, ids in zip(words, self.ranks.replay([w.encode() for w in words]), strict=True):
