@@ -424,3 +424,16 @@ CHECKS = {
     }.items()
 }
 CHECKS |= {f"{name}_hot": CHECKS[name] for name in ("feat_all", "feat_login_history_lag", "rule_flags_all")}
+CHECKS |= {
+    "stream_velocity": _check("""select a.transaction_id, count(*) as transfers from t a join t as z on a.user_id = z.user_id
+        and z."timestamp" between a."timestamp" - interval '5' minute and a."timestamp"
+        group by a.transaction_id having count(*) > 3"""),
+    "stream_mules": _check("""select a.transaction_id, count(distinct z.user_id) as senders
+        from t a join t as z on a.beneficiary_id = z.beneficiary_id
+        and z."timestamp" between a."timestamp" - interval '1' hour and a."timestamp"
+        group by a.transaction_id having count(distinct z.user_id) >= 4"""),
+    "stream_last_login": CHECKS["feat_last_login_asof"],
+    "stream_first_arrivals": CHECKS["clean_dedup"],
+    "stream_smallest_ids": CHECKS["clean_dedup"],
+    "stream_rule_breakdown": CHECKS["mart_rule_breakdown"],
+}

@@ -11,7 +11,7 @@ from tracewell.operators import cleaning, features, rules
 from tracewell.operators.quantiles import describe
 from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
-from tracewell.plans import marts, portable, quality, reports
+from tracewell.plans import marts, portable, quality, reports, streams
 from tracewell.plans.pipeline import current_run, plan, run
 from tracewell.sources.fixtures import load_fixtures, load_portable
 from tracewell.sources.readers import read_csv_table, read_flagged_csv
@@ -618,3 +618,40 @@ def io_parquet_marts(spark, sf_dir):
     path = scratch_path(spark, "fraud_summary")
     write_mart(marts.fraud_summary(flagged(spark, sf_dir)), path, date_partitions=True)
     return shown(spark.read.parquet(path), "transaction_id", "amount", "triggered_rules_count", "beneficiary_bank_code")
+
+
+# Streams
+
+
+@query
+def stream_velocity(spark, sf_dir):
+    return shown(streams.velocity(load_fixtures(spark, sf_dir).transactions, PARAMS), "transaction_id", "transfers")
+
+
+@query
+def stream_mules(spark, sf_dir):
+    return shown(streams.mules(load_fixtures(spark, sf_dir).transactions, PARAMS), "transaction_id", "senders")
+
+
+@query
+def stream_last_login(spark, sf_dir):
+    tables = load_fixtures(spark, sf_dir)
+    found = streams.last_login(tables.transactions, tables.logins).filter(F.col("login_timestamp").isNotNull())
+    return shown(found, "transaction_id", "login_timestamp", "device_id")
+
+
+@query
+def stream_first_arrivals(spark, sf_dir):
+    rows = load_fixtures(spark, sf_dir).transactions
+    return shown(streams.without_retries(rows, F.col("transaction_id") % 100 == 5, exact=False), *EVENT_COLUMNS)
+
+
+@query
+def stream_smallest_ids(spark, sf_dir):
+    rows = load_fixtures(spark, sf_dir).transactions
+    return shown(streams.without_retries(rows, F.col("transaction_id") % 100 == 5, exact=True), *EVENT_COLUMNS)
+
+
+@query
+def stream_rule_breakdown(spark, sf_dir):
+    return shown(streams.rule_breakdown(flagged(spark, sf_dir)))
