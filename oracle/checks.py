@@ -436,4 +436,6 @@ CHECKS |= {
     "stream_first_arrivals": CHECKS["clean_dedup"],
     "stream_smallest_ids": CHECKS["clean_dedup"],
     "stream_rule_breakdown": CHECKS["mart_rule_breakdown"],
+    "inc_three_loads": CHECKS["rule_flags_all"],
+    "inc_three_loads_features": CHECKS["clean_all"],
 }

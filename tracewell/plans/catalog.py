@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions.columns import is_true_text
@@ -12,6 +12,7 @@ from tracewell.operators.quantiles import describe
 from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
 from tracewell.plans import marts, portable, quality, reports, streams
+from tracewell.plans.incremental import Store
 from tracewell.plans.pipeline import current_run, plan, run
 from tracewell.sources.fixtures import load_fixtures, load_portable
 from tracewell.sources.readers import read_csv_table, read_flagged_csv
@@ -655,3 +656,38 @@ def stream_smallest_ids(spark, sf_dir):
 @query
 def stream_rule_breakdown(spark, sf_dir):
     return shown(streams.rule_breakdown(flagged(spark, sf_dir)))
+
+
+# Loads
+
+
+def in_loads(tables: Tables) -> list[Tables]:
+    """The tables as three loads by time, with retries, some logins, users and beneficiaries that come later."""
+
+    def load_of(ts: str, late) -> Column:
+        return F.least(F.floor((F.dayofmonth(ts) - 1) / 11) + late.cast("int"), F.lit(2))
+
+    which = {
+        "users": F.when(F.col("user_id") % 7 == 3, 1).otherwise(0),
+        "beneficiaries": F.when(F.col("beneficiary_id") % 5 == 2, 2).otherwise(0),
+        "logins": load_of("login_timestamp", F.col("auth_id") % 11 == 0),
+        "transactions": load_of("timestamp", F.col("transaction_id") % 100 == 5),
+    }
+    return [Tables(**{name: getattr(tables, name).filter(part == n) for name, part in which.items()}) for n in range(3)]
+
+
+@query
+def inc_three_loads(spark, sf_dir):
+    store = Store(spark, scratch_path(spark, "store"), PARAMS)
+    for n, part in enumerate(in_loads(load_fixtures(spark, sf_dir))):
+        store.load(f"load{n}", part)
+    return shown(store.flagged(), "transaction_id", "rule_flags")
+
+
+@query
+def inc_three_loads_features(spark, sf_dir):
+    store = Store(spark, scratch_path(spark, "store"), PARAMS)
+    for n, part in enumerate(in_loads(load_fixtures(spark, sf_dir))):
+        store.load(f"load{n}", part)
+    columns = [*EVENT_COLUMNS, "fraud_score", *cleaning.MEASURES[1:], "transaction_balance_ratio", *cleaning.FILL_FALSE]
+    return shown(store.flagged(), *columns)
