@@ -424,6 +424,54 @@ CHECKS = {
     }.items()
 }
 CHECKS |= {f"{name}_hot": CHECKS[name] for name in ("feat_all", "feat_login_history_lag", "rule_flags_all")}
+_DRAW = "md5(cast({id} as varchar) || ':{seed}')"
+CHECKS |= {
+    "feat_preview": f"{CHECKS['feat_all']} order by {_DRAW.format(id='transaction_id', seed=7)} limit 5",
+    "mart_preview": f"{CHECKS['mart_fraud_summary']} order by {_DRAW.format(id='f.transaction_id', seed=7)} limit 5",
+    "port_flagged_preview": _check(f"""select transaction_id, amount, is_new as is_beneficiary_new, ts as "timestamp"
+        from p where flag order by {_DRAW.format(id='transaction_id', seed=7)} limit 5"""),
+    "prim_sample": _check(f"""select transaction_id, user_id, beneficiary_id, cast(amount as double) as amount, "timestamp"
+        from t where {_DRAW.format(id='transaction_id', seed=1)} < '{int(0.03 * 2**32):08x}'"""),
+    "rule_mule_senders": _check("""select a.transaction_id, array_to_string(list_sort(list(distinct z.user_id)), '|') as senders
+        from t a join t as z on a.beneficiary_id = z.beneficiary_id
+        and z."timestamp" between a."timestamp" - interval '1' hour and a."timestamp"
+        group by a.transaction_id having count(distinct z.user_id) >= 4"""),
+}
+
+
+def _violations(table: str, check: str, column: str, key: str, rows: str) -> str:
+    return f"""select '{table}' as table_name, '{check}' as check_name, '{column}' as column_name,
+        cast({key} as varchar) as row_key, cast(1 as bigint) as copies from {rows}"""
+
+
+def _repeated(part: str, column: str, key: str) -> str:
+    return f"""(select {key}, row_number() over (partition by {column} order by {key}) as rn from {part}
+        where {column} is not null) where rn > 1"""
+
+
+_BAD = "transaction_id // 100 % {} = 0"
+CHECKS |= {
+    "constraint_rows": _check("\nunion all ".join([
+        _violations("users", "not_null", "kyc_status", "user_id", "u where kyc_status is null"),
+        _violations("users", "unique", "email", "user_id", _repeated("u", "email", "user_id")),
+        _violations("users", "unique", "phone", "user_id", _repeated("u", "phone", "user_id")),
+        _violations("users", "primary_key", "user_id", "user_id", _repeated("u", "user_id", "user_id")),
+        _violations("transactions", "foreign_key", "user_id", "transaction_id", "t where user_id not in (select user_id from u)"),
+        _violations("transactions", "foreign_key", "beneficiary_id", "transaction_id",
+                    "t where beneficiary_id not in (select beneficiary_id from b)"),
+        _violations("device_authentications", "foreign_key", "user_id", "auth_id", "l where user_id not in (select user_id from u)"),
+    ])),
+    "io_csv_good_rows": _check(f"""select cast(transaction_id as varchar) as transaction_id, cast(user_id as varchar) as user_id,
+        cast(beneficiary_id as varchar) as beneficiary_id, cast(amount as double) as amount, "timestamp",
+        'MOBILE_APP' as channel, 'pending' as status from t
+        where not ({_BAD.format(31)} or {_BAD.format(37)} or {_BAD.format(41)})"""),
+    "io_csv_rejected_rows": _check(f"""select cast(transaction_id as varchar) as transaction_id, concat_ws('|',
+            case when {_BAD.format(41)} then 'wrong number of values' end,
+            case when {_BAD.format(31)} then 'amount is not a decimal(15,2)' end,
+            case when {_BAD.format(37)} then 'timestamp is not a timestamp_ntz' end) as reasons from t
+        where {_BAD.format(31)} or {_BAD.format(37)} or {_BAD.format(41)}"""),
+}
+CHECKS["rule_mule_senders_hot"] = CHECKS["rule_mule_senders"]
 CHECKS |= {
     "stream_velocity": _check("""select a.transaction_id, count(*) as transfers from t a join t as z on a.user_id = z.user_id
         and z."timestamp" between a."timestamp" - interval '5' minute and a."timestamp"

@@ -7,10 +7,6 @@ import __spark_entry__ as entry_point
 from oracle.checks import CHECKS
 from tracewell.plans.catalog import QUERIES
 
-# Results that depend on chance or on which rows a bare LIMIT returns: only their shape is checked.
-UNCHECKED = {"feat_preview": 5, "mart_preview": 5, "port_flagged_preview": 5, "prim_sample": None}
-
-
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return connect(sf_dir)
@@ -21,15 +17,8 @@ def test_matches_sql(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, CHECKS[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(UNCHECKED))
-def test_runs(spark, sf_dir, name):
-    found = QUERIES[name](spark, sf_dir).collect()
-    assert found
-    assert UNCHECKED[name] is None or len(found) <= UNCHECKED[name]
-
-
 def test_every_query_is_checked():
-    assert set(QUERIES) == set(CHECKS) | set(UNCHECKED)
+    assert set(QUERIES) == set(CHECKS)
     assert set(QUERIES) <= set(entry_point.queries()) and set(CHECKS) <= set(entry_point.oracle_sql())
 
 

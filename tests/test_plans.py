@@ -92,3 +92,14 @@ def test_top_rows_need_no_full_sort(spark, sf_dir):
 def test_foreign_keys_are_counted_per_key(tables, shuffled_joins):
     text = physical(constraint_report(tables))
     assert "LeftAnti" in text and "partial_count" in text
+
+
+@pytest.mark.parametrize("name,windows", [("rpt_velocity_off_hours", 2), ("mart_mule_beneficiaries", 3), ("prim_array_any", 1)])
+def test_one_flag_plans_one_rule(spark, sf_dir, name, windows):
+    """One window is cleaning's, for copies; the others are the rule's. All six rules take four more."""
+    assert len(re.findall(r"Window \[", physical(QUERIES[name](spark, sf_dir)))) == windows
+
+
+def test_the_mart_looks_beneficiaries_up_once(spark, sf_dir, shuffled_joins):
+    text = physical(QUERIES["mart_fraud_summary"](spark, sf_dir))
+    assert len(re.findall(r"FileScan parquet .*supplier", text)) == 1

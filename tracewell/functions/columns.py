@@ -80,3 +80,13 @@ def percent_text(ratio: Column) -> Column:
 def is_true_text(flag: Column) -> Column:
     """Text flag: only 'true', in any case and with surrounding spaces, counts."""
     return F.coalesce(F.lower(F.trim(flag.cast("string"))) == "true", F.lit(False))
+
+
+def draw(id_column: str, seed: int) -> Column:
+    """A text that is as good as random, in equal spread, and the same wherever and whenever it is worked out."""
+    return F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")).cast("binary"))
+
+
+def drawn(id_column: str, fraction: float, seed: int) -> Column:
+    """Whether a row is in a sample of about this share of all rows (O6), the same rows for the same seed."""
+    return draw(id_column, seed) < f"{int(fraction * 16**8):08x}"

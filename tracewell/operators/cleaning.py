@@ -1,6 +1,6 @@
 """Data-quality repair in six steps (CL1-CL13), each a pure function."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,12 +35,16 @@ def clean_users(users: DataFrame) -> DataFrame:
     )
 
 
+def _bank_code(column: str) -> Column:
+    return F.upper(F.trim(column))
+
+
 def clean_beneficiaries(beneficiaries: DataFrame) -> DataFrame:
     """CL2, CL4: text and phone; the phone is not trimmed."""
     return beneficiaries.withColumns(
         {
             "beneficiary_name": F.trim("beneficiary_name"),
-            "beneficiary_bank_code": F.upper(F.trim("beneficiary_bank_code")),
+            "beneficiary_bank_code": _bank_code("beneficiary_bank_code"),
             "beneficiary_phone": local_phone(F.col("beneficiary_phone")),
         }
     )
@@ -103,6 +107,7 @@ def surviving_events(df: DataFrame, scope: Scope) -> DataFrame:
 def clean(scope: Scope) -> Scope:
     """All steps in order. Features keep the values they were computed with."""
     df = drop_orphans(scope.transactions, scope)
+    df = df.withColumn("_beneficiary_bank_code", _bank_code("_beneficiary_bank_code"))
     df = fill_missing(clamp_score(repair_signs(df)))
     df = dedup_retries(rederive_new(repair_time(df, scope), scope.params))
     return scope.with_busy(lambda busy: surviving_events(busy, scope).select(EVENT_COLUMNS)).with_tables(

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import elapsed_days, elapsed_seconds, login_distance_km, off_hours, weekend
+from tracewell.functions.columns import draw, elapsed_days, elapsed_seconds, login_distance_km, off_hours, weekend
 from tracewell.operators.scope import TXN, Scope
 from tracewell.operators.skew import HotKeys
 from tracewell.operators.temporal import asof_last, previous_row, range_count
@@ -130,8 +130,9 @@ def build_features(scope: Scope) -> Scope:
 
 
 def feature_preview(df: DataFrame, rows: int = 5, seed: int | None = None) -> DataFrame:
-    """FE12: a few transfers picked at random."""
-    return df.select(PREVIEW_COLUMNS).orderBy(F.rand(seed)).limit(rows)
+    """FE12: a few transfers picked at random; the same ones again for the same seed."""
+    order = F.rand() if seed is None else draw(TXN, seed)
+    return df.select(PREVIEW_COLUMNS).orderBy(order).limit(rows)
 
 
 def login_history(logins: DataFrame, hot_users: HotKeys) -> DataFrame:

@@ -117,18 +117,23 @@ def single_rule(scope: Scope, name: str) -> DataFrame:
     return scope.with_beneficiaries(df).withColumn(name, {STRUCTURING: structuring, EVASION: evasion}[name](params))
 
 
-def apply_rules(scope: Scope) -> Scope:
+def apply_rules(scope: Scope, wanted: tuple[str, ...] = RULES) -> Scope:
     """Set rule_flags from scratch; running it again gives the same flags.
 
     One shuffle by user serves R2 and the join of R5, one by beneficiary serves R6 and the
-    beneficiary join of R1 and R4."""
-    params = scope.params
-    df = impossible_travel(velocity(scope.transactions, scope), scope)
-    df = scope.with_beneficiaries(mule_network(df, scope))
-    df = df.withColumns(
-        {STRUCTURING: structuring(params), CROSS_BORDER: cross_border(params), EVASION: evasion(params)}
-    )
-    fired = ", ".join(f"if({rule}, '{rule}', null)" for rule in RULES)
+    beneficiary join of R1 and R4. Only the rules wanted are planned and listed."""
+    df, params = scope.transactions, scope.params
+    if VELOCITY in wanted:
+        df = velocity(df, scope)
+    if IMPOSSIBLE_TRAVEL in wanted:
+        df = impossible_travel(df, scope)
+    if MULE_NETWORK in wanted:
+        df = mule_network(df, scope)
+    if STRUCTURING in wanted or EVASION in wanted:
+        df = scope.with_beneficiaries(df)
+    plain = {STRUCTURING: structuring, CROSS_BORDER: cross_border, EVASION: evasion}
+    df = df.withColumns({rule: make(params) for rule, make in plain.items() if rule in wanted})
+    fired = ", ".join(f"if({rule}, '{rule}', null)" for rule in RULES if rule in wanted)
     return scope.with_tables(
         transactions=df.withColumn("rule_flags", F.expr(f"array_compact(array({fired}))")).drop(*RULES)
     )

@@ -10,6 +10,8 @@ from tracewell.params import Params
 from tracewell.sources.tables import Tables
 
 TXN = "transaction_id"
+# Columns of the beneficiary that marts show, and their names on a transfer.
+BANK_COLUMNS = {"beneficiary_bank_code": "_beneficiary_bank_code", "beneficiary_country": "_beneficiary_country"}
 EVENT_COLUMNS = ["transaction_id", "user_id", "beneficiary_id", "amount", "timestamp"]
 
 
@@ -63,7 +65,7 @@ class Scope:
         """Join the beneficiary columns that features, cleaning and rules read, once."""
         if "_known_beneficiary" in df.columns:
             return df
-        columns = {"created_at": "_beneficiary_created_at", "beneficiary_country": "_beneficiary_country"}
+        columns = {"created_at": "_beneficiary_created_at", **BANK_COLUMNS}
         return self.hot_beneficiaries.join_dimension(
             df, self.tables.beneficiaries, columns, "_known_beneficiary", TXN
         )

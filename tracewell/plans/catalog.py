@@ -6,8 +6,9 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import is_true_text
+from tracewell.functions.columns import drawn, is_true_text
 from tracewell.operators import cleaning, features, rules
+from tracewell.operators.evidence import mule_senders
 from tracewell.operators.quantiles import describe
 from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
@@ -15,7 +16,7 @@ from tracewell.plans import marts, portable, quality, reports, streams
 from tracewell.plans.incremental import Store
 from tracewell.plans.pipeline import current_run, plan, run
 from tracewell.sources.fixtures import load_fixtures, load_portable
-from tracewell.sources.readers import read_csv_table, read_flagged_csv
+from tracewell.sources.readers import read_csv_checked, read_csv_table, read_flagged_csv
 from tracewell.sources.schemas import TRANSACTIONS, USERS
 from tracewell.sources.tables import Tables
 from tracewell.sources.writers import append_rows, scratch_path, write_csv, write_mart
@@ -59,8 +60,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Scope:
     return cleaning.clean(featured(spark, sf_dir))
 
 
-def flagged(spark: SparkSession, sf_dir: str, params: Params = PARAMS) -> Tables:
-    return plan(load_fixtures(spark, sf_dir), params)
+def flagged(spark: SparkSession, sf_dir: str, params: Params = PARAMS, wanted: tuple[str, ...] = rules.RULES) -> Tables:
+    return plan(load_fixtures(spark, sf_dir), params, wanted=wanted)
 
 
 def portable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +259,11 @@ def constraint_report(spark, sf_dir):
     return shown(quality.constraint_report(load_fixtures(spark, sf_dir)))
 
 
+@query
+def constraint_rows(spark, sf_dir):
+    return shown(quality.constraint_rows(load_fixtures(spark, sf_dir)))
+
+
 # Rules
 
 
@@ -332,7 +338,7 @@ def mart_rule_breakdown(spark, sf_dir):
 
 @query
 def mart_preview(spark, sf_dir):
-    return shown(marts.preview(marts.fraud_summary(flagged(spark, sf_dir))))
+    return shown(marts.preview(marts.fraud_summary(flagged(spark, sf_dir)), seed=7))
 
 
 @query
@@ -352,7 +358,7 @@ def mart_incidents(spark, sf_dir):
 
 @query
 def mart_mule_beneficiaries(spark, sf_dir):
-    return shown(marts.mule_beneficiaries(flagged(spark, sf_dir)))
+    return shown(marts.mule_beneficiaries(flagged(spark, sf_dir, wanted=(rules.MULE_NETWORK,))))
 
 
 # Reports
@@ -360,7 +366,7 @@ def mart_mule_beneficiaries(spark, sf_dir):
 
 @query
 def rpt_velocity_off_hours(spark, sf_dir):
-    return shown(marts.velocity_off_hours(flagged(spark, sf_dir).transactions))
+    return shown(marts.velocity_off_hours(flagged(spark, sf_dir, wanted=(rules.VELOCITY,)).transactions))
 
 
 @query
@@ -429,7 +435,7 @@ def port_flag_rate(spark, sf_dir):
 
 @query
 def port_flagged_preview(spark, sf_dir):
-    return shown(portable.flagged_preview(portable_rows(spark, sf_dir)))
+    return shown(portable.flagged_preview(portable_rows(spark, sf_dir), seed=7))
 
 
 @query
@@ -482,7 +488,8 @@ def prim_union_append(spark, sf_dir):
 @query
 def prim_array_any(spark, sf_dir):
     hit = F.array_contains("rule_flags", rules.EVASION)
-    return shown(flagged(spark, sf_dir).transactions.select("transaction_id", hit.alias("evading")))
+    evading = flagged(spark, sf_dir, wanted=(rules.EVASION,)).transactions
+    return shown(evading.select("transaction_id", hit.alias("evading")))
 
 
 @query
@@ -506,7 +513,10 @@ def mart_preview_rows(spark, sf_dir):
 
 @query
 def clean_repair_counts(spark, sf_dir):
-    return shown(quality.repair_counts(featured(spark, sf_dir)))
+    """Counted while a staged run writes."""
+    path = scratch_path(spark, "batch")
+    run(spark, load_fixtures(spark, sf_dir), path, PARAMS)
+    return shown(spark.read.parquet(f"{current_run(spark, path)}/marts/repair_counts"))
 
 
 @query
@@ -582,6 +592,23 @@ def prim_interval_self_join(spark, sf_dir):
     return shown(hits, "transaction_id")
 
 
+def _senders(spark, sf_dir, params, rows_per_part):
+    scope = raw_scope(spark, sf_dir, params)
+    found = mule_senders(scope.transactions, scope, rows_per_part)
+    return shown(found.withColumn("senders", F.transform("senders", lambda u: u.cast("string"))), "transaction_id", "senders")
+
+
+@query
+def rule_mule_senders(spark, sf_dir):
+    return _senders(spark, sf_dir, PARAMS, 100_000)
+
+
+@query
+def rule_mule_senders_hot(spark, sf_dir):
+    """With hot beneficiaries, and buckets cut into parts of a few senders."""
+    return _senders(spark, sf_dir, HOT, 3)
+
+
 @query
 def prim_describe_amount(spark, sf_dir):
     summary = describe(load_fixtures(spark, sf_dir).transactions.select("amount"), "amount")
@@ -590,7 +617,7 @@ def prim_describe_amount(spark, sf_dir):
 
 @query
 def prim_sample(spark, sf_dir):
-    return shown(load_fixtures(spark, sf_dir).transactions.select(EVENT_COLUMNS).sample(fraction=0.03, seed=1))
+    return shown(load_fixtures(spark, sf_dir).transactions.select(EVENT_COLUMNS).filter(drawn("transaction_id", 0.03, seed=1)))
 
 
 # Input and output
@@ -604,6 +631,34 @@ def io_csv_roundtrip(spark, sf_dir):
     return shown(back.withColumn("transaction_id", F.col("transaction_id").cast("long")), "transaction_id", "user_id", "beneficiary_id", "amount", "timestamp", "channel", "merchant_country", "status", "fraud_score", "final_decision", "is_ground_truth_fraud")
 
 
+def _spoiled_csv(spark, sf_dir):
+    """Transfers as a CSV export in which some amounts, times and whole lines are malformed."""
+    path = scratch_path(spark, "spoiled")
+    number = F.col("transaction_id") / 100
+    rows = load_fixtures(spark, sf_dir).transactions.select(
+        "transaction_id",
+        F.when(F.floor(number) % 31 == 0, "n/a").otherwise(F.col("amount").cast("string")).alias("Amount "),
+        F.when(F.floor(number) % 37 == 0, "yesterday").otherwise(F.col("timestamp").cast("string")).alias("timestamp"),
+        F.when(F.floor(number) % 41 == 0, "MOBILE,APP").otherwise(F.col("channel")).alias("channel"),
+        "user_id",
+        "beneficiary_id",
+    )
+    rows.write.mode("overwrite").csv(path, header=True, quote="\u0000")
+    return read_csv_checked(spark, path, TRANSACTIONS)
+
+
+@query
+def io_csv_good_rows(spark, sf_dir):
+    good, _ = _spoiled_csv(spark, sf_dir)
+    return shown(good, "transaction_id", "user_id", "beneficiary_id", "amount", "timestamp", "channel", "status")
+
+
+@query
+def io_csv_rejected_rows(spark, sf_dir):
+    _, rejected = _spoiled_csv(spark, sf_dir)
+    return shown(rejected.select(F.substring_index("record", ",", 1).alias("transaction_id"), "reasons"))
+
+
 @query
 def io_report_csv(spark, sf_dir):
     """Cleaned rows to CSV, read back by header, and reported on."""

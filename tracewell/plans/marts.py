@@ -3,9 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import elapsed_days, percentage
+from tracewell.functions.columns import draw, elapsed_days, percentage
 from tracewell.operators.features import login_history
 from tracewell.operators.rules import EVASION, MULE_NETWORK, VELOCITY
+from tracewell.operators.scope import BANK_COLUMNS
 from tracewell.operators.skew import HotKeys
 from tracewell.params import Params
 from tracewell.sources.tables import Tables
@@ -30,14 +31,23 @@ def fraud_summary(tables: Tables) -> DataFrame:
         "rule_flags",
         F.when(_rules_hit() > 0, 1).otherwise(0).alias("is_flagged"),
         _rules_hit().alias("triggered_rules_count"),
-        "beneficiary_id",
+        *_bank_keys(tables),
     )
     return _with_banks(facts, tables, ["beneficiary_bank_code", "beneficiary_country"])
 
 
+def _bank_keys(tables: Tables) -> list[str]:
+    """What a transfer knows of its beneficiary: the columns shown, or only the id where it was read from a table."""
+    carried = list(BANK_COLUMNS.values())
+    return carried if set(carried) <= set(tables.transactions.columns) else ["beneficiary_id"]
+
+
 def _with_banks(facts: DataFrame, tables: Tables, columns: list[str]) -> DataFrame:
     """Columns of the beneficiary in place of its id. Both sides of the join come from a
     shuffle or a scan, so adaptive execution can split a hot beneficiary."""
+    if "beneficiary_id" not in facts.columns:
+        shown = [F.col(BANK_COLUMNS[c]).alias(c) for c in columns]
+        return facts.select(*[c for c in facts.columns if c not in BANK_COLUMNS.values()], *shown)
     banks = tables.beneficiaries.select("beneficiary_id", *columns)
     return facts.join(banks, "beneficiary_id", "left").drop("beneficiary_id")
 
@@ -45,7 +55,7 @@ def _with_banks(facts: DataFrame, tables: Tables, columns: list[str]) -> DataFra
 def rule_breakdown(tables: Tables) -> DataFrame:
     """M2: one row per rule a transfer triggered."""
     fired = tables.transactions.select(
-        "transaction_id", "timestamp", "amount", F.explode("rule_flags").alias("rule_name"), "beneficiary_id"
+        "transaction_id", "timestamp", "amount", F.explode("rule_flags").alias("rule_name"), *_bank_keys(tables)
     )
     return _with_banks(fired, tables, ["beneficiary_bank_code"])
 
@@ -58,8 +68,10 @@ def register_views(tables: Tables, params: Params = Params()) -> None:
     rule_breakdown(tables).createOrReplaceTempView("vw_dashboard_rule_breakdown")
 
 
-def preview(mart: DataFrame, rows: int = 5) -> DataFrame:
-    """M3: a look at the mart."""
+def preview(mart: DataFrame, rows: int = 5, seed: int | None = None) -> DataFrame:
+    """M3: a look at the mart, at any rows, or with a seed at random ones that are the same again."""
+    if seed is not None:
+        mart = mart.orderBy(draw("transaction_id", seed))
     return mart.select("*").limit(rows)
 
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tracewell.operators.cleaning import clean
 from tracewell.operators.features import build_features
-from tracewell.operators.rules import apply_rules, trigger_counts
-from tracewell.operators.scope import EVENT_COLUMNS, Scope
+from tracewell.operators.rules import RULES, apply_rules, trigger_counts
+from tracewell.operators.scope import BANK_COLUMNS, EVENT_COLUMNS, Scope
 from tracewell.params import Params
 from tracewell.plans.marts import fraud_summary, rule_breakdown
+from tracewell.plans.quality import RepairCounts
 from tracewell.sources.schemas import SPECS
 from tracewell.sources.tables import Tables, conform, public_columns, read_tables
 from tracewell.sources.writers import write_mart, write_table
@@ -21,8 +22,10 @@ from tracewell.sources.writers import write_mart, write_table
 CLEANED = ("users", "beneficiaries", "transactions")
 
 
-def plan(tables: Tables, params: Params = Params(), mode: str = "reference") -> Tables:
-    """The flagged tables as one lazy plan.
+def plan(
+    tables: Tables, params: Params = Params(), mode: str = "reference", wanted: tuple[str, ...] = RULES
+) -> Tables:
+    """The flagged tables as one lazy plan, with the rules wanted.
 
     mode="reference" computes features on the rows as loaded and then cleans, so features
     of repaired rows keep their old values. mode="recompute" cleans first."""
@@ -34,8 +37,11 @@ def plan(tables: Tables, params: Params = Params(), mode: str = "reference") ->
         scope = build_features(cleaned.with_tables(transactions=public_columns(cleaned.transactions)))
     else:
         raise ValueError(f"unknown mode: {mode}")
-    flagged = apply_rules(scope).tables
-    return flagged.with_(transactions=public_columns(flagged.transactions))
+    flagged = apply_rules(scope, wanted).tables
+    # The bank goes on with the transfer, so that marts need no second look-up.
+    bank = [F.col(c) for c in BANK_COLUMNS.values()]
+    facts = flagged.transactions
+    return flagged.with_(transactions=facts.select(*public_columns(facts).columns, *bank))
 
 
 def run(
@@ -49,6 +55,8 @@ def run(
     """Run stage by stage, in the order of `plan`'s mode. Each stage is written to its own
     folder and the next one reads it back, so lost executors never redo an earlier stage.
 
+    What cleaning repairs is counted while it is written (marts/repair_counts).
+
     A run writes to a folder of its own below `out`, which becomes the current one (see
     `current_run`) when all of it is there. If a stage fails, the former run stays current."""
     if mode not in ("reference", "recompute"):
@@ -66,8 +74,11 @@ def run(
         return scope.with_tables(transactions=store("features", build_features(scope).transactions, "transactions"))
 
     def with_clean_tables(scope: Scope) -> Scope:
-        cleaned = clean(scope).tables
+        repairs = RepairCounts()
+        cleaned = repairs.watched(scope).tables
         stored = {name: store("clean", frame, name) for name, frame in cleaned.named().items() if name in CLEANED}
+        line = spark.createDataFrame([tuple(repairs.counts.values())], ", ".join(f"{c} long" for c in repairs.counts))
+        write_table(line.coalesce(1), f"{out}/marts/repair_counts")
         scope = replace(scope, tables=cleaned.with_(**stored))
         # The hot keys' rows are from now on those that were stored.
         events = scope.transactions.select(EVENT_COLUMNS)

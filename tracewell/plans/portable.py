@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.functions.columns import haversine_km, off_hours, weekend
+from tracewell.functions.columns import draw, haversine_km, off_hours, weekend
 from tracewell.operators.cleaning import RETRY_KEYS, dedup_retries
 from tracewell.operators.quantiles import describe
 from tracewell.params import Params
@@ -79,8 +79,11 @@ def flag_rate(flagged: DataFrame) -> DataFrame:
     )
 
 
-def flagged_preview(flagged: DataFrame, rows: int = 5) -> DataFrame:
+def flagged_preview(flagged: DataFrame, rows: int = 5, seed: int | None = None) -> DataFrame:
+    """Any flagged transfers, or with a seed random ones that are the same again."""
     hits = flagged.filter("biometric_evasion_flag")
+    if seed is not None:
+        hits = hits.orderBy(draw("transaction_id", seed))
     return hits.select("transaction_id", "amount", "is_beneficiary_new", "timestamp").limit(rows)
 
 

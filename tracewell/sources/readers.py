@@ -2,11 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tracewell.sources.schemas import TableSpec
 from tracewell.sources.tables import conform
 
+CORRUPT = "_corrupt_record"
+
 
 def read_csv_table(spark: SparkSession, path: str, spec: TableSpec, line_breaks: bool = False) -> DataFrame:
     """A raw CSV export. All values are read as text, found by header name, and then cast,
@@ -14,6 +17,38 @@ def read_csv_table(spark: SparkSession, path: str, spec: TableSpec, line_breaks:
     return conform(read_csv_by_header(spark, path, [spec.key], line_breaks), spec)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, spec: TableSpec, line_breaks: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """A raw CSV export whose rows may be malformed: the table of the good rows, and the rejected ones with
+    `record` (the line) and `reasons`.
+
+    A row is rejected when its line has too few or too many values, or when a value is not of the column's
+    type; empty values are NULL, as in `read_csv_table`, and are no reason."""
+    options = {"quote": '"', "escape": '"', "multiLine": line_breaks}
+    header = read_csv_by_header(spark, path, [spec.key], line_breaks).columns
+    names = [f"c{i}" for i in range(len(header))]  # whatever the header calls them
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    rows = spark.read.schema(schema).options(**options, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False).csv(path)
+    reasons, columns = [F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of values"))], []
+    kinds = {f.name: f.dataType for f in spec.schema}
+    for raw, name in zip(names, header, strict=True):
+        kind = kinds.get(name)
+        if kind is None:
+            continue
+        if isinstance(kind, T.ArrayType | T.StringType):
+            columns.append(F.col(raw).alias(name))
+            continue
+        value = F.expr(f"try_cast(trim({raw}) as {kind.simpleString()})")
+        reasons.append(F.when(F.col(raw).isNotNull() & value.isNull(), F.lit(f"{name} is not a {kind.simpleString()}")))
+        columns.append(value.alias(name))
+    judged = rows.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    good = judged.filter(F.cardinality("reasons") == 0).select(columns)
+    rejected = judged.filter(F.cardinality("reasons") > 0).select(line.alias("record"), "reasons")
+    return conform(good, spec), rejected
+
+
 def read_csv_by_header(spark: SparkSession, path: str, required: list[str], line_breaks: bool = False) -> DataFrame:
     """CSV with a header in any order, case and padding; ValueError when a column is missing.
 
