@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tracewell import Params
 from tracewell.operators import rules
 from tracewell.operators.features import PREVIEW_COLUMNS, build_features
 from tracewell.operators.scope import Scope
@@ -103,3 +104,15 @@ def test_one_flag_plans_one_rule(spark, sf_dir, name, windows):
 def test_the_mart_looks_beneficiaries_up_once(spark, sf_dir, shuffled_joins):
     text = physical(QUERIES["mart_fraud_summary"](spark, sf_dir))
     assert len(re.findall(r"FileScan parquet .*supplier", text)) == 1
+
+
+def test_hot_keys_do_not_move_transfers_more_often(tables, shuffled_joins):
+    """All other exchanges are of hot keys' instants, five columns wide at most."""
+    scope = Scope.of(tables, Params(hot_key_rows=30))
+    assert scope.hot_users.any and scope.hot_beneficiaries.any
+    df = build_features(scope).transactions.select(PREVIEW_COLUMNS)
+    of_facts = [e for e in exchanges(physical(df)) if re.search("_slot_|_lane_|_light_", e)]
+    assert sorted(of_facts) == sorted(["_light_key, _light_lane"] * 2 + ["beneficiary_id, _lane_beneficiary_id", "user_id, _slot_user_id"])
+    df = rules.apply_rules(scope.with_tables(transactions=scope.transactions)).transactions.select("transaction_id", "rule_flags")
+    of_facts = [e for e in exchanges(physical(df)) if re.search("_slot_|_lane_|_light_", e)]
+    assert sorted(of_facts) == sorted(["_light_key, _light_lane"] * 2 + ["beneficiary_id, _slot_beneficiary_id", "user_id, _slot_user_id"])

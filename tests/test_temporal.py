@@ -34,8 +34,8 @@ def frame(spark, rows, names="id long, k long, who long, ts timestamp_ntz"):
     return spark.createDataFrame(rows, names).repartition(5, "id" if "id" in names else "auth")
 
 
-def hot(frames, limit, key="k"):
-    return HotKeys.find({key: frames}, limit)[key]
+def hot(frames, limit, key="k", ts="ts"):
+    return HotKeys.find({key: frames}, limit, ts)[key]
 
 
 def test_hot_keys_lists_only_large_keys(spark):
@@ -124,3 +124,12 @@ def test_hot_rows_are_spread(spark):
     counted = hot([df], 25)
     groups = counted.tag(df, "id").groupBy(*counted.placement).count()
     assert groups.agg(F.max("count")).first()[0] <= 25
+
+
+@pytest.mark.parametrize("limit", [25, 2])
+def test_slots_hold_no_more_than_the_limit(spark, limit):
+    df = frame(spark, make_rows(400, 9))
+    counted = hot([df], limit)
+    assert counted.crowds is not None
+    slots = counted.tag_instants(df, "id", "ts").groupBy(*counted.slots).count()
+    assert slots.agg(F.max("count")).first()[0] <= limit

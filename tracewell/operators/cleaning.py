@@ -81,6 +81,7 @@ def repair_time(df: DataFrame, scope: Scope) -> DataFrame:
     df = scope.with_users(df)
     created = F.col("_user_created_at")
     repaired = F.when(F.col("timestamp") < created, created + F.lit(scope.params.time_repair_offset))
+    df = scope.hot_users.untag(scope.hot_beneficiaries.untag(df))  # slots go by time
     return df.withColumn("timestamp", repaired.otherwise(F.col("timestamp")))
 
 

@@ -1,5 +1,7 @@
 """Engineered features of a transfer (FE1-FE13)."""
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def beneficiary_profile(df: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
-def history_count(df: DataFrame, scope: Scope, placed: bool = False) -> DataFrame:
+def history_count(df: DataFrame, scope: Scope, placed: bool = False, met: str | None = None) -> DataFrame:
     """FE7: the user's other transfers in the trailing window."""
     counted = range_count(
         df,
@@ -70,11 +72,12 @@ def history_count(df: DataFrame, scope: Scope, placed: bool = False) -> DataFram
         hot=scope.hot_users,
         busy=scope.busy_by_user,
         placed=placed,
+        met=met,
     )
     return counted.withColumn("user_7day_transaction_count", (F.col("_in_window") - 1).cast("int")).drop("_in_window")
 
 
-def last_login(df: DataFrame, scope: Scope) -> DataFrame:
+def last_login(df: DataFrame, scope: Scope, counts: dict[str, timedelta] | None = None) -> DataFrame:
     """The latest login of the user at or before the transfer, as the struct `_login`."""
     return asof_last(
         df,
@@ -88,6 +91,7 @@ def last_login(df: DataFrame, scope: Scope) -> DataFrame:
         row_id=TXN,
         hot=scope.hot_users,
         busy=scope.busy_by_user,
+        counts=counts,
     )
 
 
@@ -124,7 +128,9 @@ def build_features(scope: Scope) -> Scope:
     The beneficiary join comes first; then one shuffle by user serves the login lookup,
     the trailing count and the user join."""
     df = time_flags(beneficiary_profile(scope.transactions, scope), scope.params)
-    df = history_count(last_login(df, scope), scope, placed=True)
+    counts = {"_met_count": scope.params.history_window} if scope.hot_users.any else {}
+    df = last_login(df, scope, counts)
+    df = history_count(df, scope, placed=True, met=next(iter(counts), None))
     df = balance_ratio(login_features(df, scope), scope)
     return scope.with_tables(transactions=df)
 

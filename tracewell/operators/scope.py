@@ -2,12 +2,15 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tracewell.operators.skew import HotKeys
 from tracewell.params import Params
 from tracewell.sources.tables import Tables
+from tracewell.sources.writers import scratch_path, write_table
 
 TXN = "transaction_id"
 # Columns of the beneficiary that marts show, and their names on a transfer.
@@ -15,6 +18,13 @@ BANK_COLUMNS = {"beneficiary_bank_code": "_beneficiary_bank_code", "beneficiary_
 EVENT_COLUMNS = ["transaction_id", "user_id", "beneficiary_id", "amount", "timestamp"]
 
 
+def stored_events(df: DataFrame) -> DataFrame:
+    """Hot keys' rows, written to the shared folder: several operators read them, each more than once."""
+    path = scratch_path(df.sparkSession, "hot-rows")
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Scope:
     tables: Tables
@@ -22,8 +32,7 @@ class Scope:
     hot_users: HotKeys
     hot_beneficiaries: HotKeys
     # Identifying columns of the hot keys' transfers, without the other stages' work on them.
-    busy_by_user: DataFrame | None
-    busy_by_beneficiary: DataFrame | None
+    busy: DataFrame | None
 
     @classmethod
     def of(cls, tables: Tables, params: Params = Params()) -> "Scope":
@@ -31,19 +40,36 @@ class Scope:
         key that is not hot here never becomes hot."""
         events = tables.transactions.select(EVENT_COLUMNS)
         sources = {"user_id": [events, tables.logins], "beneficiary_id": [events]}
-        hot = HotKeys.find(sources, params.hot_key_rows)
-        busy = {key: found.only(events) if found.any else None for key, found in hot.items()}
-        return cls(
-            tables, params, hot["user_id"], hot["beneficiary_id"], busy["user_id"], busy["beneficiary_id"]
-        )
+        hot = HotKeys.find(sources, params.hot_key_rows, "timestamp")
+        return cls(tables, params, hot["user_id"], hot["beneficiary_id"], None).with_events(events)
 
     def with_tables(self, **frames: DataFrame) -> "Scope":
         return replace(self, tables=self.tables.with_(**frames))
 
+    def with_events(self, events: DataFrame) -> "Scope":
+        """Take the hot keys' rows from these transfers from now on."""
+        hot = [h for h in (self.hot_users, self.hot_beneficiaries) if h.any]
+        if not hot:
+            return self
+        busy = reduce(lambda df, h: h.marked(df), hot, events.select(EVENT_COLUMNS))
+        return replace(self, busy=busy.filter(reduce(lambda a, b: a | b, [F.col(h.mark) for h in hot])))
+
     def with_busy(self, step: Callable[[DataFrame], DataFrame]) -> "Scope":
         """Apply a stage's effect on transfers to the hot keys' rows too."""
-        busy = [df if df is None else step(df) for df in (self.busy_by_user, self.busy_by_beneficiary)]
-        return replace(self, busy_by_user=busy[0], busy_by_beneficiary=busy[1])
+        if self.busy is None:
+            return self
+        return self.with_events(stored_events(step(self.busy.select(EVENT_COLUMNS)).select(EVENT_COLUMNS)))
+
+    def _busy_of(self, hot: HotKeys) -> DataFrame | None:
+        return self.busy.filter(hot.mark).select(EVENT_COLUMNS) if hot.any else None
+
+    @property
+    def busy_by_user(self) -> DataFrame | None:
+        return self._busy_of(self.hot_users)
+
+    @property
+    def busy_by_beneficiary(self) -> DataFrame | None:
+        return self._busy_of(self.hot_beneficiaries)
 
     @property
     def transactions(self) -> DataFrame:

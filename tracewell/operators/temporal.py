@@ -54,26 +54,64 @@ def _level_after(steps: DataFrame, key: str) -> DataFrame:
     return joined.select(key, "_at", level.alias("_level"))
 
 
+def _span(window: timedelta) -> str:
+    return f"INTERVAL '{window.total_seconds():.6f}' SECOND"
+
+
 def _trailing_sum(arriving: str, leaving: str, ts: str, window: timedelta, hot: HotKeys) -> Column:
     """Sum of `arriving` up to t minus sum of `leaving` up to just before t - window.
 
     Both frames only grow along the sorted group, so the cost does not depend on how many
     rows are inside the window, as it would for a sliding frame. Rows without a time are
     peers of each other and of no other row."""
-    spec = f"PARTITION BY {', '.join(hot.placement)} ORDER BY {ts} RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    spec = f"PARTITION BY {', '.join(hot.slots)} ORDER BY {ts} RANGE BETWEEN UNBOUNDED PRECEDING AND"
     older = f"INTERVAL '{window.total_seconds() + 1e-6:.6f}' SECOND PRECEDING"
     so_far = f"sum({arriving}) OVER ({spec} CURRENT ROW)"
     return F.expr(f"if({ts} is null, {so_far}, {so_far} - coalesce(sum({leaving}) OVER ({spec} {older}), 0))")
 
 
-def _override_hot(df: DataFrame, table: DataFrame, ts: str, out: str, hot: HotKeys) -> DataFrame:
-    """Put the separately computed value in place on rows of hot keys.
+def _marks(table: DataFrame, ts: str, hot: HotKeys, **values: Column) -> DataFrame:
+    """A row for each instant of the table, in the slot of the hot rows at that instant and before them."""
+    return table.select(
+        hot.key, F.col("_at").alias(ts), hot.slot_of("_at").alias(hot.slot), F.lit(0).alias("_kind"), *[v.alias(n) for n, v in values.items()]
+    )
 
-    The table is unique on (key, instant), so an instant shared by very many rows is a
-    skewed left side that adaptive execution splits."""
-    table = table.select(hot.key, F.col("_at").alias(ts), F.col("_level").alias("_hot_value"))
-    joined = null_safe_join(df, table, [hot.key, ts], "left")
-    return joined.withColumn(out, F.when(hot.is_hot(), F.col("_hot_value")).otherwise(F.col(out))).drop("_hot_value")
+
+def _crowded(df: DataFrame, table: DataFrame, ts: str, hot: HotKeys, out: str) -> DataFrame:
+    """Put `_level` of the table, whose crowded instants are few, in place on rows of crowds."""
+    if hot.crowds is None:
+        return df
+    few = null_safe_join(table, hot.crowds, [hot.key, "_at"], "left_semi", small=True)
+    few = few.select(hot.key, F.col("_at").alias(ts), F.struct("_level").alias("_crowd"))
+    joined = null_safe_join(df, few, [hot.key, ts], "left", small=True)
+    value = F.when(F.col("_crowd").isNotNull(), F.col("_crowd._level")).otherwise(F.col(out))
+    return joined.withColumn(out, value).drop("_crowd")
+
+
+def _met(df: DataFrame, table: DataFrame, ts: str, hot: HotKeys, plain: dict[str, Column], out: str) -> DataFrame:
+    """df with `out`, worked out by windows for ordinary rows and taken from the table, which is unique on
+    (key, instant), for hot ones.
+
+    The table's rows go into the timeline of the windows: a hot row finds the value of its instant just
+    before itself. So ordinary rows move and are sorted as they are without hot keys. `plain` has the
+    columns of the ordinary way, the last of them `out`."""
+    met = _marks(table, ts, hot, _met=F.struct("_level"))
+    line = df.withColumn("_kind", F.lit(1)).unionByName(met, allowMissingColumns=True).repartition(*hot.slots)
+    so_far = _up_to_here(Window.partitionBy(*hot.slots).orderBy(ts, "_kind"))
+    line = line.withColumn("_met", F.last("_met", ignorenulls=True).over(so_far))
+    for name, column in plain.items():
+        line = line.withColumn(name, column)
+    found = F.when(hot.is_hot(), F.col("_met._level")).otherwise(F.col(out))
+    line = line.filter(F.col("_kind") == 1).withColumn(out, found).select(*df.columns, out)
+    return _crowded(line, table, ts, hot, out)
+
+
+def _count_levels(busy: DataFrame, key: str, ts: str, window: timedelta) -> DataFrame:
+    """Rows of the key in [t - window, t] for each of its instants: key, _at, _level."""
+    instants = busy.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
+    here, gone = F.col(ts), F.col(ts) + F.lit(window)
+    both = F.array(_step(here, ARRIVAL, F.col("_n")), _step(gone, DEPARTURE, -F.col("_n")))
+    return _level_after(instants.select(key, F.inline(both)), key)
 
 
 def range_count(
@@ -85,25 +123,23 @@ def range_count(
     hot: HotKeys,
     busy: DataFrame | None = None,
     placed: bool = False,
+    met: str | None = None,
 ) -> DataFrame:
     """Rows of the same key in [t - window, t], both ends included, rows at t all included;
     for a row without a time, the key's rows without one.
 
     `busy` holds the hot keys' rows, if the caller has them at less cost than `df`;
-    `placed` says that the rows already sit in the task of their (key, lane)."""
-    key = hot.key
-    tagged = hot.tag(df, row_id)
-    if not placed:
-        tagged = tagged.repartition(*hot.placement)
-    counted = tagged.withColumn(out, _trailing_sum("1", "1", ts, window, hot))
+    `placed` says that the rows already sit in the task of their slot, and `met` names the
+    column in which hot ones have their count by then (see `asof_last`)."""
     if not hot.any:
-        return counted
-
-    busy = hot.only(df) if busy is None else busy
-    instants = busy.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
-    here, gone = F.col(ts), F.col(ts) + F.lit(window)
-    both = F.array(_step(here, ARRIVAL, F.col("_n")), _step(gone, DEPARTURE, -F.col("_n")))
-    return _override_hot(counted, _level_after(instants.select(key, F.inline(both)), key), ts, out, hot)
+        rows = df if placed else df.repartition(*hot.slots)
+        return rows.withColumn(out, _trailing_sum("1", "1", ts, window, hot))
+    if met is not None:
+        counted = df.withColumn(out, _trailing_sum("1", "1", ts, window, hot))
+        return counted.withColumn(out, F.when(hot.is_hot(), F.col(met)).otherwise(F.col(out))).drop(met)
+    table = _count_levels(hot.only(df) if busy is None else busy, hot.key, ts, window)
+    tagged = hot.tag_instants(df, row_id, ts)
+    return _met(tagged, table, ts, hot, {out: _trailing_sum("1", "1", ts, window, hot)}, out)
 
 
 def range_distinct(
@@ -124,22 +160,23 @@ def range_distinct(
     when the next row comes too late. The distinct count is what arrived minus what left;
     no set is kept and no pair of rows is formed."""
     key = hot.key
-    tagged = hot.tag(df, row_id).repartition(*hot.placement)
-    own = Window.partitionBy(*hot.placement, who).orderBy(ts)
+    own = Window.partitionBy(*hot.slots, who).orderBy(ts)
     previous, following = F.lag(ts).over(own), F.lead(ts).over(own)
     span = F.lit(window)
     timed = F.col(ts).isNotNull()
     counted = F.col(who).isNotNull() & timed
-    plain = tagged.withColumns(
-        {
-            "_arrives": F.when(counted & (previous.isNull() | (previous < F.col(ts) - span)), 1).otherwise(0),
-            "_leaves": F.when(counted & (following.isNull() | (following > F.col(ts) + span)), 1).otherwise(0),
-        }
-    )
-    present = _trailing_sum("_arrives", "_leaves", ts, window, hot)
-    plain = plain.withColumn(out, F.when(timed, present).otherwise(0)).drop("_arrives", "_leaves")
+    plain = {
+        "_previous": previous,
+        "_following": following,
+        "_arrives": F.when(counted & F.expr(f"_previous is null or _previous < {ts} - {_span(window)}"), 1).otherwise(0),
+        "_leaves": F.when(counted & F.expr(f"_following is null or _following > {ts} + {_span(window)}"), 1).otherwise(0),
+        out: F.when(timed, _trailing_sum("_arrives", "_leaves", ts, window, hot)).otherwise(0),
+    }
     if not hot.any:
-        return plain
+        rows = df.repartition(*hot.slots)
+        for name, column in plain.items():
+            rows = rows.withColumn(name, column)
+        return rows.select(*df.columns, out)
 
     # Hot keys: inside one slice as long as the window, rows of a value are always part of
     # the same stay, so the first and the last are enough.
@@ -167,7 +204,7 @@ def range_distinct(
         .groupBy(key, "_at", "_phase")
         .agg(F.sum("_delta").alias("_delta"))
     )
-    found = _override_hot(plain, _level_after(steps, key), ts, out, hot)
+    found = _met(hot.tag_instants(df, row_id, ts), _level_after(steps, key), ts, hot, plain, out)
     return found.withColumn(out, F.when(timed, F.col(out)).otherwise(0))
 
 
@@ -183,34 +220,34 @@ def asof_last(
     row_id: str,
     hot: HotKeys,
     busy: DataFrame | None = None,
+    counts: dict[str, timedelta] | None = None,
 ) -> DataFrame:
     """Add the struct `out`: the latest right row of the key at or before each left row.
 
     Right rows at the same instant are told apart by the largest `tie`. The struct is NULL
     only when there is no such row; rows without a time match nothing. Both inputs meet in one sorted timeline, so no pair of
-    rows is ever formed."""
+    rows is ever formed. With `counts`, hot rows also get their trailing counts of these names and
+    windows, which `range_count` then takes over; other rows get NULL."""
     hit = F.struct(*columns)
+    counts = counts or {}
     known = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
-    tagged = hot.tag(left, row_id)
-    lane = [F.lit(0).cast("long").alias(hot.lane)] if hot.any else []
+    tagged = hot.tag_instants(left, row_id, left_ts)
+    slot = [F.lit(0).cast("long").alias(hot.slot)] if hot.any else []
     marks = hot.without(known).select(
         by,
-        *lane,
+        *slot,
         F.col(right_ts).alias(left_ts),
         F.lit(0).alias("_kind"),
         F.col(tie).alias("_tie"),
         hit.alias(out),
     )
     timeline = tagged.withColumn("_kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    so_far = _up_to_here(Window.partitionBy(*hot.placement).orderBy(left_ts, "_kind", "_tie"))
-    plain = (
-        timeline.withColumn(out, F.last(out, ignorenulls=True).over(so_far))
-        .filter(F.col("_kind") == 1)
-        .drop("_kind", "_tie")
-    )
+    so_far = _up_to_here(Window.partitionBy(*hot.slots).orderBy(left_ts, "_kind", "_tie"))
     if not hot.any:
-        return plain
+        latest = timeline.withColumn(out, F.last(out, ignorenulls=True).over(so_far))
+        return latest.filter(F.col("_kind") == 1).drop("_kind", "_tie")
 
+    # What hot rows find is worked out per instant, and laid into their slots as marks.
     busy = hot.only(left) if busy is None else busy
     probes = busy.select(by, F.col(left_ts).alias("_at")).distinct().withColumn("_kind", F.lit(1))
     marks = hot.only(known).groupBy(by, F.col(right_ts).alias("_at"))
@@ -226,8 +263,18 @@ def asof_last(
     )
     latest = cut.withColumn("_inside", F.last("_mark", ignorenulls=True).over(inside)).filter(F.col("_kind") == 1)
     table = null_safe_join(latest, carried, [by, "_minute"], "left")
-    table = table.withColumn("_level", F.coalesce("_inside", "_carried"))
-    return _override_hot(plain, table, left_ts, out, hot)
+    table = table.select(by, "_at", F.coalesce("_inside", "_carried").alias("_login"))
+    for name, window in counts.items():
+        levels = _count_levels(busy, by, left_ts, window).select(by, "_at", F.col("_level").alias(name))
+        table = null_safe_join(table, levels, [by, "_at"], "left")
+    table = table.select(by, "_at", F.struct("_login", *counts).alias("_level"))
+    timeline = timeline.unionByName(_marks(table, left_ts, hot, _met=F.col("_level")), allowMissingColumns=True)
+    latest = timeline.withColumns({name: F.last(name, ignorenulls=True).over(so_far) for name in (out, "_met")})
+    latest = latest.filter(F.col("_kind") == 1).drop("_kind", "_tie")
+    latest = _crowded(latest, table, left_ts, hot, "_met")
+    found = {out: F.when(hot.is_hot(), F.col("_met._login")).otherwise(F.col(out))}
+    found |= {name: F.when(hot.is_hot(), F.col(f"_met.{name}")) for name in counts}
+    return latest.withColumns(found).drop("_met")
 
 
 def _with_tie_slice(rows: DataFrame, key: str, ts: str, tie: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracewell.operators.cleaning import clean
 from tracewell.operators.features import build_features
 from tracewell.operators.rules import RULES, apply_rules, trigger_counts
-from tracewell.operators.scope import BANK_COLUMNS, EVENT_COLUMNS, Scope
+from tracewell.operators.scope import BANK_COLUMNS, Scope
 from tracewell.params import Params
 from tracewell.plans.marts import fraud_summary, rule_breakdown
 from tracewell.plans.quality import RepairCounts
@@ -80,10 +80,7 @@ def run(
         line = spark.createDataFrame([tuple(repairs.counts.values())], ", ".join(f"{c} long" for c in repairs.counts))
         write_table(line.coalesce(1), f"{out}/marts/repair_counts")
         scope = replace(scope, tables=cleaned.with_(**stored))
-        # The hot keys' rows are from now on those that were stored.
-        events = scope.transactions.select(EVENT_COLUMNS)
-        busy = [hot.only(events) if hot.any else None for hot in (scope.hot_users, scope.hot_beneficiaries)]
-        return replace(scope, busy_by_user=busy[0], busy_by_beneficiary=busy[1])
+        return scope.with_events(scope.transactions)  # the hot keys' rows are from now on those that were stored
 
     stages = [with_features, with_clean_tables] if mode == "reference" else [with_clean_tables, with_features]
     for stage in stages:

@@ -110,7 +110,7 @@ def load_fixtures(spark: SparkSession, sf_dir: str) -> Tables:
 def load_portable(spark: SparkSession, sf_dir: str, hot_key_rows: int = 1_000_000) -> DataFrame:
     """One flat frame per transfer, with the coordinates of its latest login and its user's home."""
     tables = load_fixtures(spark, sf_dir)
-    hot = HotKeys.find({"user_id": [tables.transactions, tables.logins]}, hot_key_rows)["user_id"]
+    hot = HotKeys.find({"user_id": [tables.transactions, tables.logins]}, hot_key_rows, "timestamp")["user_id"]
     located = asof_last(
         tables.transactions.select("transaction_id", "user_id", "beneficiary_id", "amount", "timestamp"),
         tables.logins,
