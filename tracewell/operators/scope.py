@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracewell.operators.skew import HotKeys
 from tracewell.params import Params
-from tracewell.sources.tables import Tables
+from tracewell.sources.tables import Tables, public_columns
 from tracewell.sources.writers import scratch_path, write_table
 
 TXN = "transaction_id"
@@ -38,6 +38,7 @@ class Scope:
     def of(cls, tables: Tables, params: Params = Params()) -> "Scope":
         """Hot keys are taken from the tables as loaded. Later stages only drop rows, so a
         key that is not hot here never becomes hot."""
+        tables = tables.with_(transactions=public_columns(tables.transactions))
         events = tables.transactions.select(EVENT_COLUMNS)
         sources = {"user_id": [events, tables.logins], "beneficiary_id": [events]}
         hot = HotKeys.find(sources, params.hot_key_rows, "timestamp")
