@@ -7,8 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tracewell.llm import language, pii, quality, rules, topk
+from tracewell.llm import language, pii, quality, rules, textstats, topk
 from tracewell.llm.queries import CHECKS, QUERIES
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -96,7 +97,7 @@ def plain_top_k(rows, k, modulus):
     return sorted(out)
 
 
-@pytest.mark.parametrize("a_round,block,size", [(8192, 4096, 1.0), (2, 7, 1.0), (3, 5, 2e5)])
+@pytest.mark.parametrize("a_round,block,size", [(8192, 4096, 1.0), (2, 7, 1.0), (3, 5, 2e5), (8192, 4096, 3e6), (5, 9, 6e6)])
 def test_top_k(spark, a_round, block, size):
     r = np.random.default_rng(7)
     rows = [(i, (r.normal(size=10) * size).tolist()) for i in range(60)]
@@ -112,6 +113,35 @@ def test_top_k_of_few_and_none(spark):
         assert sorted(map(tuple, got.collect())) == plain_top_k(rows, 20, 20)
 
 
+def test_top_k_of_large_components_and_many_dimensions(spark):
+    rows = [(0, [3e6]), (1, [2e6]), (2, [4e6]), (20, [-3e6])]
+    got = topk.every_twentieth(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(rows, 20, 20)
+    assert (0, 1, 2, 49152000000000000) in [tuple(r) for r in got]
+    r = np.random.default_rng(3)
+    for dims in (1536, 3072):
+        rows = [(i, r.normal(size=dims).tolist()) for i in range(45)]
+        vectors = topk.quantized(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        got = topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=9).collect()
+        assert sorted(map(tuple, got)) == plain_top_k(rows, 9, 20)
+    with pytest.raises(Exception, match="is no long"):
+        topk.every_twentieth(spark.createDataFrame([(0, [1e9]), (1, [2e9])], "vec_id long, embedding array<double>")).collect()
+    with pytest.raises(Exception, match="too large for a long"):
+        topk.every_twentieth(spark.createDataFrame([(0, [1e300])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_samples_take_one_row_of_each_id(spark, labelled):
+    """An id on most of the rows does not crowd others out, wherever its rows are."""
+    docs, labels, _ = labelled
+    known = docs.join(labels.select("doc_id"), "doc_id", "left_semi").orderBy("doc_id").limit(1)
+    crowd = docs.unionByName(known.select(docs.columns).crossJoin(spark.range(8000).select(F.lit(1).alias("_n"))).drop("_n"))
+    once = textstats.one_row_each(crowd.select("doc_id", "text"))
+    assert once.count() == docs.count()
+    model, again = (quality.fit(t, labels) for t in (docs, crowd.repartition(5)))
+    assert model is not None and model.weights == pytest.approx(again.weights, rel=1e-6)
+    assert rules.fit(docs, labels) == rules.fit(crowd.repartition(3), labels)
+
+
 def test_top_k_prunes_dimensions():
     r = np.random.default_rng(1)
     block = np.rint(r.normal(size=(64, 4000)) * 40 * np.linspace(3, 0.2, 64)[:, None])

@@ -12,15 +12,15 @@ gadget that counts, and a copy differs from its original by the one arc its gadg
 are kept in two tables (arcs made, arcs taken); the arcs that walks ask for are worked out from them and
 filled into a transition table.
 
-Code points that Unicode has taken in since its version 15 may be cut otherwise than the tokenizers
-library's own tables do.
+Words are cut before the automaton reads them: plain ones here, and those with other than ASCII characters
+by the library's own normaliser and pre-tokenizer, whose tables of letters are those of its version.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -116,7 +116,11 @@ class Coder:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        library = Tokenizer.from_file(path)
+        self.normal, self.pre_tokenized = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -130,22 +134,26 @@ class Coder:
         self.paths = Paths(self)
         self.known = Words(self)
 
-    def normal(self, text: str) -> str:
-        """Canonical composition, then each letter's lower case by itself (a final sigma is like any other)."""
-        text = unicodedata.normalize("NFC", text)
-        return (text.replace("Σ", "σ") if "Σ" in text else text).lower()
+    def cut(self, text: str) -> list[str]:
+        """Words of a text without special tokens, spelled in the vocabulary's letters for bytes."""
+        if text.isascii():
+            return [self.spelled(w) for w in self.find_words(text.lower())]
+        return [w for w, _ in self.pre_tokenized(self.normal(text))]
+
+    def spelled(self, word: str) -> str:
+        return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
 
     def word(self, word: str) -> tuple[str, str, int]:
         """Decimal ids and labels, each joined by spaces, and their number."""
         ids: list[int] = []
         if word.isalpha() and plain(word):
-            ids += self.paths[word.lower()]
+            ids += self.paths[self.spelled(word.lower())]
         else:
             for k, part in enumerate(self.at_special.split(word) if self.at_special else [word]):
                 if k % 2:
                     ids.append(self.special[part])
                 else:
-                    for piece in self.find_words(self.normal(part)):
+                    for piece in self.cut(part):
                         ids += self.paths[piece]
         return " ".join(map(str, ids)), " ".join(map(self.labels.__getitem__, ids)), len(ids)
 
@@ -163,14 +171,14 @@ class Coder:
 
 
 class Paths(Remembered):
-    """The automaton's path for a piece of normal text."""
+    """The automaton's path for a word in the vocabulary's letters."""
 
     def __init__(self, coder: Coder):
         super().__init__()
         self.coder = coder
 
     def compute(self, piece: str) -> list[int]:
-        symbols = list(piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.coder.letters))
+        symbols = list(piece)
         symbols[-1] += self.coder.end
         return self.coder.automaton.encode(symbols)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows
+from .textstats import one_row_each
 
 #: Characters of the n-grams, and the buckets that they are hashed to.
 ORDERS = (1, 2, 3)
@@ -124,7 +125,8 @@ def fit(docs: DataFrame, fit_rows: int = 800, most_languages: int = 256, epochs:
 
     Document frequencies cover all of docs. The weights are fitted on about fit_rows documents of each
     language, taken by a hash of doc_id; every fifth of them is kept for the temperature. A language is
-    learned if it is among the most_languages most frequent ones.
+    learned if it is among the most_languages most frequent ones, which bounds the model (a weight per
+    language and bucket); rarer ones are never predicted. Of rows that repeat a doc_id one counts.
     """
     sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     languages = sorted(r["lang"] for r in sizes)
@@ -137,6 +139,7 @@ def fit(docs: DataFrame, fit_rows: int = 800, most_languages: int = 256, epochs:
     for r in sizes:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(spread, spread * fit_rows // r["count"]))).otherwise(share)
     chosen = docs.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(spread))).filter(F.col("place") < share)
+    chosen = one_row_each(chosen.select("doc_id", "place", "lang", "text"))
 
     def rows(rows: Iterator[tuple]) -> Iterator[tuple]:
         for place, lang, text in rows:
@@ -144,7 +147,7 @@ def fit(docs: DataFrame, fit_rows: int = 800, most_languages: int = 256, epochs:
             yield place, lang, at.astype("<i4").tobytes(), counts.astype("<i4").tobytes()
 
     found = map_rows(chosen.select("place", "lang", "text"), rows, "place long, lang string, at binary, counts binary", 64)
-    found = found.limit(2 * fit_rows * len(languages)).collect()  # reached only where rows repeat a doc_id
+    found = found.collect()  # about fit_rows of each language
     found.sort(key=lambda r: (r["place"] * 0x9E3779B1 % spread, r["lang"], r["at"], r["counts"]))
     examples = []
     for r in found:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textstats import basic_stats, sample_of_labels, with_rates
+from .textstats import basic_stats, one_row_each, sample_of_labels, with_rates
 
 #: What the text says; a short text has at most a short text's share of anything.
 CONTENT = {
@@ -26,15 +26,17 @@ PAGE = {
     "log_lines": "ln(1 + n_lines)",
     "log_line_chars": "ln(1 + text_chars / greatest(n_lines, 1))",
 }
+#: Sources and languages are dealt into so many buckets each, by a hash, however many there are.
+KINDS = 256
 
 
 @dataclass(frozen=True)
 class View:
-    """A logistic model of standardised features (and, for the page, one weight per source and language), calibrated."""
+    """A logistic model of standardised features (and, for the page, one weight per bucket of sources and languages), calibrated."""
 
     mean: dict[str, float]
     weight: dict[str, float]
-    kinds: dict[tuple[str, str], float]
+    kinds: dict[tuple[str, int], float]
     bias: float
     slope: float = 1.0
     shift: float = 0.0
@@ -44,12 +46,9 @@ class View:
         at = F.lit(self.bias)
         for name, w in self.weight.items():
             at += F.lit(w) * (F.col(f"_s.{name}") - F.lit(self.mean[name]))
-        for column in {c for c, _ in self.kinds}:
-            cases = F.lit(0.0)
-            for (c, value), w in self.kinds.items():
-                if c == column:
-                    cases = F.when(F.col(f"_s.{column}") == value, F.lit(w)).otherwise(cases)
-            at += cases
+        for column in sorted({c for c, _ in self.kinds}):
+            weights = F.array(*[F.lit(self.kinds.get((column, n), 0.0)) for n in range(KINDS)])
+            at += F.get(weights, F.col(f"_s.{column}"))
         return F.lit(self.slope) * at + F.lit(self.shift)
 
 
@@ -81,12 +80,13 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 25) -> np.nda
 def measured(docs: DataFrame) -> DataFrame:
     """docs as `_row`, and what the views look at as `_s`: names of docs' own columns can't clash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kind = {c: (F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")).alias(c) for c in ("source", "lang")}
+    kind = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("") for c in ("source", "lang")}
+    kind = {c: F.pmod(F.xxhash64(value), F.lit(KINDS)).cast("int").alias(c) for c, value in kind.items()}
     stats = with_rates(basic_stats(docs.select(F.struct("*").alias("_row"), text.alias("text"), *kind.values())), CONTENT | PAGE)
     return stats.select("_row", F.struct(*CONTENT, *PAGE, *kind).alias("_s"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, pool_rows: int = 6000, rounds: int = 5, a_round: int = 200, sure: float = 0.97, kinds: int = 64) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, pool_rows: int = 6000, rounds: int = 5, a_round: int = 200, sure: float = 0.97) -> Model | None:
     """Learn from at most fit_rows labelled and pool_rows unlabelled documents (label 1 is good); None without labels of both kinds.
 
     Each view trains on three fifths of the labelled rows. In every round each view labels the rows of the
@@ -102,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, pool_rows: int
     # At most fit_rows + pool_rows ids.
     wanted = F.broadcast(labelled.unionByName(unlabelled))
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c for c in ("text", "source", "lang") if c in docs.columns))
-    rows = measured(some.join(wanted, "doc_id")).select("_row.doc_id", "_row.y", "_s.*").limit(2 * (fit_rows + pool_rows)).toPandas()
+    rows = measured(one_row_each(some.join(wanted, "doc_id"))).select("_row.doc_id", "_row.y", "_s.*").toPandas()
     rows = rows.sort_values(["doc_id", *CONTENT]).reset_index(drop=True)
     given = rows["y"].notna().to_numpy()
     y = rows["y"].fillna(0).to_numpy(float)
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, pool_rows: int
     train, held = given & (fold < 3), given & (fold >= 3)
     if min(len(set(y[train])), len(set(y[held]))) < 2:
         train = held = given
-    values = {c: rows[c].value_counts().index[:kinds].tolist() for c in ("source", "lang")}
+    values = {c: sorted(set(rows[c].tolist())) for c in ("source", "lang")}
     columns = {"content": list(CONTENT), "page": [*PAGE, *((c, v) for c, vs in values.items() for v in vs)]}
     x, mean, scale = {}, {}, {}
     for view, names in columns.items():

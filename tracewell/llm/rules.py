@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts
-from .textstats import RATES, basic_stats, repeated_words, sample_of_labels, with_rates
+from .textstats import basic_stats, one_row_each, RATES, repeated_words, sample_of_labels, with_rates
 
 #: What a rule may ask about.
 FEATURES = {**RATES, "repeat_rate": "n_repeat_words / greatest(n_words, 1)"}
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000) -> list[Rule]:
     sample = sample_of_labels(labels, fit_rows)
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most fit_rows ids
     order = ["y", "doc_id", *FEATURES]
-    found = statistics(some).join(F.broadcast(sample), "doc_id").select(*order).limit(2 * fit_rows).collect()
+    found = statistics(one_row_each(some.select("doc_id", "text"))).join(F.broadcast(sample), "doc_id").select(*order).collect()
     found.sort(key=lambda r: ((r["doc_id"] * 0x9E3779B97F4A7C15) % 2**64, *r[2:]))
     return learn([tuple(r[2:]) for r in found], [r["y"] == 0 for r in found], list(FEATURES))
 

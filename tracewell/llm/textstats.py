@@ -77,3 +77,12 @@ def sample_of_labels(labels: DataFrame, rows: int, label: str = "quality") -> Da
     """At most `rows` labelled doc_ids, those with the smallest hashes: doc_id and y. Contradicting labels of one id count as their smallest."""
     known = labels.filter(f"doc_id is not null and {label} is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("int").alias("y"))
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """Of the rows that repeat a doc_id only the one with the smallest hash, so that no id takes the place of others in a sample.
+
+    Told apart before the shuffle, so an id on very many rows is one row of each task.
+    """
+    row = F.struct(*docs.columns)
+    return docs.groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_row")).select("_row.*")

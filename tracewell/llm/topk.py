@@ -11,19 +11,20 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, new_path, nullable, stored
 
-#: Scores below this are exact in doubles; beyond it, whole numbers are multiplied as longs.
-EXACT = 1 << 53
-#: Components are kept within these bounds, so that a score of up to MOST_DIMENSIONS is a long.
-LIMIT, MOST_DIMENSIONS = float(1 << 26), 1 << 10
+#: Scores below the first are exact in doubles, below the second in longs; beyond it, they are worked out in Python's whole numbers.
+EXACT, LONG = 1 << 53, 1 << 63
+#: Components of the queries of a round, and of the candidates that are compared together.
+QUERY_CELLS, BLOCK_CELLS = 1 << 23, 1 << 22
 
 
 def quantized(vectors: DataFrame, scale: int = 64, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id and v, an array of longs floor(scale * x), x as a double.
 
     Vectors that are null or have null, infinite or NaN components take no part, nor do rows without an id.
-    Values beyond 2^26 count as 2^26, so that every score is a long.
+    A component that is no long by then is an error.
     """
-    scaled = f"transform({vector}, x -> cast(floor(greatest(least({scale} * cast(x as double), {LIMIT!r}D), -{LIMIT!r}D)) as bigint))"
+    value = f"{scale} * cast(x as double)"
+    scaled = f"transform({vector}, x -> if(abs({value}) < 9.2e18D, cast(floor({value}) as bigint), cast(raise_error('a component is too large for a long') as bigint)))"
     whole = f"{key} is not null and {vector} is not null and forall({vector}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     return vectors.filter(whole).selectExpr(f"cast({key} as bigint) vec_id", f"{scaled} v")
 
@@ -48,7 +49,8 @@ class Search:
         self.ids, self.q, self.k = ids, queries, k
         self.steps = list(range(0, max(1, len(queries)), step)) + [len(queries)]
         self.mass = remaining(queries, self.steps)
-        self.best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in ids]
+        self.kind = object if queries.dtype == object else np.int64
+        self.best = [(np.empty(0, self.kind), np.empty(0, np.int64)) for _ in ids]
 
     def add(self, ids: np.ndarray, block: np.ndarray) -> None:
         """Compare a block of candidates, in vertical layout, with every query.
@@ -67,21 +69,28 @@ class Search:
             part = part[alive]
             for s in range(1, len(self.steps)):
                 if bar is not None:
-                    bound = part + self.mass[s, n] * mass[s, alive]
-                    keep = bound * (1 + 1e-9 * np.sign(bound)) + 1e-3 >= bar  # rounding must not lose a tie
+                    so_far, missing = part.astype(float), self.mass[s, n] * mass[s, alive]
+                    slack = 1e-9 * (np.abs(so_far) + missing) + 1e-3  # rounding must not lose a tie
+                    keep = so_far + missing + slack >= float(bar)
                     alive, part = alive[keep], part[keep]
                 if s + 1 < len(self.steps) and len(alive):
                     low, high = self.steps[s], self.steps[s + 1]
                     part = part + self.q[low:high, n] @ (block[low:high, alive] if len(alive) < len(ids) // 2 else block[low:high][:, alive])
             if len(alive):
-                scores = np.concatenate([best_scores, part.astype(np.int64)])
+                scores = np.concatenate([best_scores, part.astype(self.kind)])
                 found = np.concatenate([best_ids, ids[alive]])
-                order = np.lexsort((found, -scores))[: self.k]
+                if self.kind is object:
+                    order = sorted(range(len(found)), key=lambda i: (-scores[i], found[i]))[: self.k]
+                else:
+                    order = np.lexsort((found, -scores))[: self.k]
                 self.best[n] = scores[order], found[order]
 
     def rows(self) -> Iterator[tuple[int, int, int]]:
         for query, (scores, ids) in zip(self.ids.tolist(), self.best, strict=True):
-            yield from ((query, i, s) for i, s in zip(ids.tolist(), scores.tolist(), strict=True))
+            for i, s in zip(ids.tolist(), map(int, scores.tolist()), strict=True):
+                if not -LONG <= s < LONG:
+                    raise OverflowError(f"the score of {query} and {i} is no long")
+                yield query, i, s
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, dims_a_step: int = 16, block_rows: int = 4096, queries_a_round: int = 8192) -> DataFrame:
@@ -90,7 +99,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, dims_a_step: int
     vectors and queries come from `quantized`. A query is not its own candidate (nor is any row with its
     id); other rows that repeat an id are candidates of their own, and a repeated query counts once, with
     its smallest vector. Ties go to the smaller vec_id. Vectors of different lengths are compared as if
-    filled up with zeros.
+    filled up with zeros. Scores are exact whatever the components and dimensions; one among a query's best
+    that is no long is an error.
 
     Queries are taken in rounds of a bounded number, which is sent to every task; candidates stay where
     they are, and each task hands on at most k rows a query. Queries times candidates is the work that
@@ -99,9 +109,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, dims_a_step: int
     spark = vectors.sparkSession
     vectors = stored(vectors, "vectors")
     dims, most = (x or 0 for x in vectors.agg(F.max(F.size("v")), F.max(F.expr("aggregate(v, 0L, (a, x) -> greatest(a, abs(x)))"))).first())
-    if dims > MOST_DIMENSIONS:
-        raise ValueError(f"vectors have more than {MOST_DIMENSIONS} dimensions")
-    kind = float if dims * most**2 < EXACT else np.int64
+    size = dims * int(most) ** 2
+    kind = float if size < EXACT else np.int64 if size < LONG else object
+    queries_a_round = max(1, min(queries_a_round, QUERY_CELLS // max(1, dims)))
+    block_rows = max(1, min(block_rows, BLOCK_CELLS // max(1, dims)))
     queries = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     rounds = -(-queries.count() // queries_a_round)
     folder = new_path(spark, "top-k")
