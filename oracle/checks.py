@@ -484,6 +484,7 @@ CHECKS |= {
     "stream_first_arrivals": CHECKS["clean_dedup"],
     "stream_smallest_ids": CHECKS["clean_dedup"],
     "stream_rule_breakdown": CHECKS["mart_rule_breakdown"],
+    "feat_all_laid_out": CHECKS["feat_all"],
     "inc_three_loads": CHECKS["rule_flags_all"],
     "inc_three_loads_features": CHECKS["clean_all"],
 }

@@ -10,6 +10,7 @@ from tracewell.operators import rules
 from tracewell.operators.features import PREVIEW_COLUMNS, build_features
 from tracewell.operators.scope import Scope
 from tracewell.plans.catalog import QUERIES
+from tracewell.plans.layout import read_laid_out, write_laid_out
 from tracewell.plans.quality import constraint_report
 from tracewell.sources.fixtures import load_fixtures
 from tracewell.sources.tables import read_tables
@@ -44,6 +45,7 @@ def exchanges(text: str) -> list[str]:
 # Single aggregate rows side by side, and writes that happen while the query is built.
 JOINED_TOTALS = {"port_repair_counts", "clean_repair_counts", "mart_preview_rows"}
 WRITERS = {"io_csv_roundtrip", "io_report_csv", "io_parquet_marts", "io_append_defaults", "io_staged_run"}
+WRITERS |= {"inc_three_loads", "inc_three_loads_features"}
 WRITERS |= {name for name in QUERIES if name.startswith("stream_")}
 
 
@@ -116,3 +118,11 @@ def test_hot_keys_do_not_move_transfers_more_often(tables, shuffled_joins):
     df = rules.apply_rules(scope.with_tables(transactions=scope.transactions)).transactions.select("transaction_id", "rule_flags")
     of_facts = [e for e in exchanges(physical(df)) if re.search("_slot_|_lane_|_light_", e)]
     assert sorted(of_facts) == sorted(["_light_key, _light_lane"] * 2 + ["beneficiary_id, _slot_beneficiary_id", "user_id, _slot_user_id"])
+
+
+def test_laid_out_tables_are_not_moved_by_user(spark, sf_dir, tmp_path, shuffled_joins):
+    write_laid_out(load_fixtures(spark, sf_dir), str(tmp_path), 4)
+    scope = Scope.of(*read_laid_out(spark, str(tmp_path)))
+    df = build_features(scope).transactions.select(PREVIEW_COLUMNS)
+    assert sorted(exchanges(physical(df))) == ["_dim_key", "beneficiary_id"]
+    assert Scope.of(*read_laid_out(spark, str(tmp_path), Params(hot_key_rows=30))).timeline is None

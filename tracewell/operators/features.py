@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tracewell.functions.columns import draw, elapsed_days, elapsed_seconds, login_distance_km, off_hours, weekend
 from tracewell.operators.scope import TXN, Scope
 from tracewell.operators.skew import HotKeys
-from tracewell.operators.temporal import asof_last, previous_row, range_count
+from tracewell.operators.temporal import asof_last, latest_on, previous_row, range_count
 from tracewell.params import Params
 
+LOGIN_COLUMNS = ["login_timestamp", "device_id", "ip_latitude", "ip_longitude"]
 PREVIEW_COLUMNS = [
     "transaction_id",
     "amount",
@@ -85,7 +86,7 @@ def last_login(df: DataFrame, scope: Scope, counts: dict[str, timedelta] | None
         by="user_id",
         left_ts="timestamp",
         right_ts="login_timestamp",
-        columns=["login_timestamp", "device_id", "ip_latitude", "ip_longitude"],
+        columns=LOGIN_COLUMNS,
         tie="auth_id",
         out="_login",
         row_id=TXN,
@@ -126,7 +127,12 @@ def build_features(scope: Scope) -> Scope:
     """All ten feature columns on the transfers as loaded.
 
     The beneficiary join comes first; then one shuffle by user serves the login lookup,
-    the trailing count and the user join."""
+    the trailing count and the user join. Where transfers and logins are laid out as one timeline
+    by user, these need no shuffle, and the beneficiary join comes last."""
+    if scope.timeline is not None:
+        df = history_count(latest_on(scope.timeline, "user_id", "timestamp", "_login"), scope, placed=True)
+        df = balance_ratio(login_features(df, scope), scope)
+        return scope.with_tables(transactions=time_flags(beneficiary_profile(df, scope), scope.params))
     df = time_flags(beneficiary_profile(scope.transactions, scope), scope.params)
     counts = {"_met_count": scope.params.history_window} if scope.hot_users.any else {}
     df = last_login(df, scope, counts)

@@ -33,16 +33,19 @@ class Scope:
     hot_beneficiaries: HotKeys
     # Identifying columns of the hot keys' transfers, without the other stages' work on them.
     busy: DataFrame | None
+    # Transfers and logins in buckets by user (see plans.layout), where no user is hot.
+    timeline: DataFrame | None = None
 
     @classmethod
-    def of(cls, tables: Tables, params: Params = Params()) -> "Scope":
+    def of(cls, tables: Tables, params: Params = Params(), timeline: DataFrame | None = None) -> "Scope":
         """Hot keys are taken from the tables as loaded. Later stages only drop rows, so a
         key that is not hot here never becomes hot."""
         tables = tables.with_(transactions=public_columns(tables.transactions))
         events = tables.transactions.select(EVENT_COLUMNS)
         sources = {"user_id": [events, tables.logins], "beneficiary_id": [events]}
         hot = HotKeys.find(sources, params.hot_key_rows, "timestamp")
-        return cls(tables, params, hot["user_id"], hot["beneficiary_id"], None).with_events(events)
+        timeline = None if hot["user_id"].any else timeline
+        return cls(tables, params, hot["user_id"], hot["beneficiary_id"], None, timeline).with_events(events)
 
     def with_tables(self, **frames: DataFrame) -> "Scope":
         return replace(self, tables=self.tables.with_(**frames))

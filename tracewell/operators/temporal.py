@@ -208,6 +208,25 @@ def range_distinct(
     return found.withColumn(out, F.when(timed, F.col(out)).otherwise(0))
 
 
+def timeline_of(
+    left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str, columns: list[str], tie: str, out: str
+) -> DataFrame:
+    """Rows of both sides in one table: left ones (`_kind` 1) as they are, right ones (0) with their columns
+    as the struct `out` and `_tie`, at their time. Right rows without a key or a time match nothing and are left out."""
+    known = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
+    marks = known.select(
+        by, F.col(right_ts).alias(left_ts), F.lit(0).alias("_kind"), F.col(tie).alias("_tie"), F.struct(*columns).alias(out)
+    )
+    return left.withColumn("_kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+
+
+def latest_on(timeline: DataFrame, by: str, ts: str, out: str) -> DataFrame:
+    """Left rows of a timeline with the latest right row of their key at or before them as `out`."""
+    so_far = _up_to_here(Window.partitionBy(by).orderBy(ts, "_kind", "_tie"))
+    latest = timeline.withColumn(out, F.last(out, ignorenulls=True).over(so_far))
+    return latest.filter(F.col("_kind") == 1).drop("_kind", "_tie")
+
+
 def asof_last(
     left: DataFrame,
     right: DataFrame,
@@ -228,24 +247,15 @@ def asof_last(
     only when there is no such row; rows without a time match nothing. Both inputs meet in one sorted timeline, so no pair of
     rows is ever formed. With `counts`, hot rows also get their trailing counts of these names and
     windows, which `range_count` then takes over; other rows get NULL."""
+    if not hot.any:
+        return latest_on(timeline_of(left, right, by, left_ts, right_ts, columns, tie, out), by, left_ts, out)
     hit = F.struct(*columns)
     counts = counts or {}
     known = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
-    tagged = hot.tag_instants(left, row_id, left_ts)
-    slot = [F.lit(0).cast("long").alias(hot.slot)] if hot.any else []
-    marks = hot.without(known).select(
-        by,
-        *slot,
-        F.col(right_ts).alias(left_ts),
-        F.lit(0).alias("_kind"),
-        F.col(tie).alias("_tie"),
-        hit.alias(out),
-    )
-    timeline = tagged.withColumn("_kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    ordinary = hot.without(known).withColumn(hot.slot, F.lit(0).cast("long"))
+    timeline = timeline_of(hot.tag_instants(left, row_id, left_ts), ordinary, by, left_ts, right_ts, columns, tie, out)
+    timeline = timeline.withColumn(hot.slot, F.coalesce(hot.slot, F.lit(0).cast("long")))
     so_far = _up_to_here(Window.partitionBy(*hot.slots).orderBy(left_ts, "_kind", "_tie"))
-    if not hot.any:
-        latest = timeline.withColumn(out, F.last(out, ignorenulls=True).over(so_far))
-        return latest.filter(F.col("_kind") == 1).drop("_kind", "_tie")
 
     # What hot rows find is worked out per instant, and laid into their slots as marks.
     busy = hot.only(left) if busy is None else busy

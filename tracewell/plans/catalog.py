@@ -14,6 +14,7 @@ from tracewell.operators.scope import EVENT_COLUMNS, Scope
 from tracewell.params import Params
 from tracewell.plans import marts, portable, quality, reports, streams
 from tracewell.plans.incremental import Store
+from tracewell.plans.layout import read_laid_out, write_laid_out
 from tracewell.plans.pipeline import current_run, plan, run
 from tracewell.sources.fixtures import load_fixtures, load_portable
 from tracewell.sources.readers import read_csv_checked, read_csv_table, read_flagged_csv
@@ -145,6 +146,15 @@ def feat_all(spark, sf_dir):
     return shown(featured(spark, sf_dir).transactions, *features.PREVIEW_COLUMNS)
 
 
+@query
+def feat_all_laid_out(spark, sf_dir):
+    """From tables in buckets by user."""
+    folder = scratch_path(spark, "laid-out")
+    write_laid_out(load_fixtures(spark, sf_dir), folder, 16)
+    scope = Scope.of(*read_laid_out(spark, folder, PARAMS))
+    return shown(features.build_features(scope).transactions, *features.PREVIEW_COLUMNS)
+
+
 @query
 def feat_all_hot(spark, sf_dir):
     return shown(featured(spark, sf_dir, HOT).transactions, *features.PREVIEW_COLUMNS)
