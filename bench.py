@@ -22,14 +22,12 @@ HEADLINE = [
     "feat_last_login_asof",
     "feat_login_history_lag",
     "feat_all",
-    "feat_all_hot",
     "clean_dedup",
     "clean_all",
     "clean_report",
     "rule_velocity_raw",
     "prim_interval_self_join",
     "rule_flags_all",
-    "rule_flags_all_hot",
     "rule_trigger_counts",
     "mart_fraud_summary",
     "mart_rule_breakdown",
@@ -42,6 +40,9 @@ HEADLINE = [
     "port_clean",
     "port_quality_report",
     "port_distance_summary",
+    # Last, as their many small stages slow what comes after them in the same process.
+    "feat_all_hot",
+    "rule_flags_all_hot",
 ]
 
 
