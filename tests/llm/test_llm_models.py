@@ -256,4 +256,4 @@ def test_covering_finds_a_conjunction():
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(CHECKS) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(CHECKS) <= set(QUERIES)
