@@ -46,6 +46,25 @@ def test_senders_behind_hits(spark, limit, part):
     assert got == want
 
 
+@pytest.mark.parametrize("limit", [10**9, 30])
+@pytest.mark.parametrize("part", [100_000, 2])
+def test_lists_of_senders_are_made_where_they_end(spark, limit, part):
+    """No list is shuffled, sorted or aggregated once it is made; copies of an id and rows without one keep theirs."""
+    rows = [(None if i % 7 == 0 else i % 90, f"u{i % 40}", 1 + i % 2, Decimal(5), START + timedelta(minutes=i // 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "transaction_id long, user_id string, beneficiary_id long, amount decimal(15,2), timestamp timestamp_ntz").repartition(4)
+    scope = Scope.of(empty(spark).with_(transactions=df), Params(hot_key_rows=limit, mule_min_senders=4))
+    found = mule_senders(df, scope, part)
+    above = found._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin", 1)[0]
+    assert "filter(_seen" in above
+    assert not any(word in above for word in ("Exchange", "Aggregate", "Sort"))
+    want = Counter()
+    for i, _, b, _, t in rows:
+        who = {u for _, u, b2, _, t2 in rows if b2 == b and t - timedelta(hours=1) <= t2 <= t}
+        if len(who) >= 4:
+            want[i, tuple(sorted(who))] += 1
+    assert Counter((x.transaction_id, tuple(x.senders)) for x in found.collect()) == want
+
+
 def totals(rows):
     return Counter({(r.table_name, r.check_name, r.column_name): 0 for r in rows})
 

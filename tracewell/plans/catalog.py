@@ -605,7 +605,7 @@ def prim_interval_self_join(spark, sf_dir):
 def _senders(spark, sf_dir, params, rows_per_part):
     scope = raw_scope(spark, sf_dir, params)
     found = mule_senders(scope.transactions, scope, rows_per_part)
-    return shown(found.withColumn("senders", F.transform("senders", lambda u: u.cast("string"))), "transaction_id", "senders")
+    return shown(found.withColumn("senders", F.col("senders").cast("array<string>")), "transaction_id", "senders")
 
 
 @query
