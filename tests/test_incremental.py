@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell import Params
+from tracewell.plans import incremental
 from tracewell.plans.incremental import Store
 from tracewell.plans.pipeline import plan
 from tracewell.sources.fixtures import load_fixtures
@@ -95,3 +96,19 @@ def test_loads_without_transfers_and_known_users(spark, tables, tmp_path):
         store.load("again", tables.with_(transactions=none))
     store.load("rest", Tables(tables.users.limit(0), tables.beneficiaries.limit(0), tables.logins, tables.transactions))
     assert rows(store.flagged()) == rows(plan(tables).transactions)
+
+
+def test_users_and_ids_of_a_load_are_not_sent_through_the_driver(spark, tables, tmp_path, monkeypatch):
+    plans = []
+
+    def watched(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write_table(df, path)
+
+    monkeypatch.setattr(incremental, "write_table", watched)
+    store = Store(spark, str(tmp_path), Params())
+    for n, part in enumerate(dealt(tables, 5, 2)):
+        store.load(f"l{n}", part)
+    joins = [line for text in plans for line in text.splitlines() if "Join [" in line]
+    assert any("SortMergeJoin [transaction_id" in line for line in joins)
+    assert not [line for line in joins if "Broadcast" in line and ("[transaction_id" in line or "_u#" in line or "_user_id#" in line)]

@@ -34,6 +34,12 @@ NEVER = datetime(9999, 1, 1)
 KEYS = {"users": "user_id", "beneficiaries": "beneficiary_id"}
 
 
+def _unsent(df: DataFrame) -> DataFrame:
+    """Join this table by a shuffle. Spark guesses a table's size from its Parquet files, in which ids take far
+    less room than in memory, and would send all users or all ids of a load through the driver."""
+    return df.hint("merge")
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -69,7 +75,7 @@ class Store:
         """Add `_at`, the time that cleaning leaves, its hour bucket, and whether both ids are known."""
         opened = users.select(F.col("user_id").alias("_u"), F.col("created_at").alias("_opened"))
         banks = beneficiaries.select(F.col("beneficiary_id").alias("_b"))
-        joined = df.join(opened, F.col("user_id") == F.col("_u"), "left").join(banks, F.col("beneficiary_id") == F.col("_b"), "left")
+        joined = df.join(_unsent(opened), F.col("user_id") == F.col("_u"), "left").join(banks, F.col("beneficiary_id") == F.col("_b"), "left")
         repaired = F.when(F.col("timestamp") < F.col("_opened"), F.col("_opened") + F.lit(self.params.time_repair_offset))
         at = repaired.otherwise(F.col("timestamp"))
         bucket = epoch_bucket(at, self.params.mule_window)
@@ -85,7 +91,7 @@ class Store:
         added = {n: self.loaded(n, [load], names[n]).drop("load") for n in DIMENSIONS}
         every = {n: self.loaded(n, [*done, load], names[n]).drop("load") for n in DIMENSIONS}
         for name, key in KEYS.items():
-            if done and not self.loaded(name, done, names[name]).join(added[name].select(key), key, "left_semi").isEmpty():
+            if done and not self.loaded(name, done, names[name]).join(_unsent(added[name].select(key)), key, "left_semi").isEmpty():
                 raise ValueError(f"{name} of this load are there already")
 
         raw = self._effective(names["transactions"], every["users"], every["beneficiaries"])
@@ -97,7 +103,7 @@ class Store:
         waited = stored.filter(F.col(DAY).isNull()).drop(DAY)
         for key, name in (("user_id", "users"), ("beneficiary_id", "beneficiaries")):
             ids = added[name].select(F.col(key).alias(f"_{key}"), F.lit(True).alias(f"_new_{key}"))
-            waited = waited.join(ids, F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
+            waited = waited.join(_unsent(ids), F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
         released = waited.filter("_new_user_id or _new_beneficiary_id").drop("_new_user_id", "_new_beneficiary_id")
         changed = self._effective(fresh.unionByName(released), every["users"], every["beneficiaries"])
         changed = self._scratch(changed, "changed")
@@ -107,9 +113,9 @@ class Store:
             self._finish(load)
             return
         people = targets.select("user_id").distinct()
-        tables = Tables(every["users"], every["beneficiaries"], every["device_authentications"].join(people, "user_id", "left_semi"), around)
-        flagged = plan(tables, self.params).transactions.join(targets.select(TXN), TXN, "left_semi")
-        self._replace(self._scratch(flagged, "flags"), targets)
+        tables = Tables(_unsent(every["users"]), every["beneficiaries"], every["device_authentications"].join(_unsent(people), "user_id", "left_semi"), around)
+        flagged = plan(tables, self.params).transactions.join(_unsent(targets.select(TXN)), TXN, "left_semi")
+        self._replace(flagged, targets)
         self._finish(load)
 
     def _reach(self, changed: DataFrame, stored: DataFrame, added: dict, every: dict) -> tuple[DataFrame, DataFrame | None]:
@@ -131,9 +137,9 @@ class Store:
 
         # A transfer counts for its user's later ones, and for its beneficiary's in this bucket and the next.
         spots = changed.filter("_known").select("beneficiary_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket")).distinct()
-        marked = rows_since(first).join(touched, "user_id", "left").join(spots.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
+        marked = rows_since(first).join(_unsent(touched), "user_id", "left").join(spots.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
         hit = marked.filter(reached).select(changed.columns)
-        targets = hit.join(changed.select(TXN), TXN, "left_anti").unionByName(changed)
+        targets = hit.join(_unsent(changed.select(TXN)), TXN, "left_anti").unionByName(changed)
         targets = self._scratch(targets, "targets")
 
         # Behind them: the user's transfers as far back as the longest window, the beneficiary's of the bucket before.
@@ -141,9 +147,9 @@ class Store:
         near = targets.select("beneficiary_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1)).alias("_bucket")).distinct()
         begin = targets.agg(earliest).first()[0]
         lower = begin - max(params.history_window, params.velocity_window, params.mule_window * 2) - timedelta(days=1)
-        marked = rows_since(lower).join(back, "user_id", "left").join(near.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
+        marked = rows_since(lower).join(_unsent(back), "user_id", "left").join(near.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
         hit = marked.filter(reached).select(changed.columns)
-        around = hit.join(targets.select(TXN), TXN, "left_anti").unionByName(targets)
+        around = hit.join(_unsent(targets.select(TXN)), TXN, "left_anti").unionByName(targets)
         return targets, self._scratch(around.drop("_at", "_bucket", "_known"), "around")
 
     def _replace(self, flagged: DataFrame, targets: DataFrame) -> None:
@@ -155,7 +161,7 @@ class Store:
         except AnalysisException:
             former = None
         if former is not None:
-            stays = former.join(days, former[DAY].eqNullSafe(days[DAY]), "left_semi").join(targets.select(TXN), TXN, "left_anti")
+            stays = former.join(days, former[DAY].eqNullSafe(days[DAY]), "left_semi").join(_unsent(targets.select(TXN)), TXN, "left_anti")
             dated = dated.unionByName(stays.select(dated.columns))
         dated = self._scratch(dated, "days")
         writer = dated.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
