@@ -112,3 +112,32 @@ def test_users_and_ids_of_a_load_are_not_sent_through_the_driver(spark, tables,
     joins = [line for text in plans for line in text.splitlines() if "Join [" in line]
     assert any("SortMergeJoin [transaction_id" in line for line in joins)
     assert not [line for line in joins if "Broadcast" in line and ("[transaction_id" in line or "_u#" in line or "_user_id#" in line)]
+
+
+def test_transfers_of_a_load_are_written_once_before_their_results(spark, tables, whole, tmp_path, monkeypatch):
+    """The mark of what can change goes through the batch; results go from it to their days, and only stored rows are written as what is around."""
+    wrote = []
+
+    def watched(df, path):
+        write_table(df, path)
+        wrote.append((path.split("/")[-1].split("-")[0], spark.read.schema(df.schema).parquet(path).count()))
+
+    monkeypatch.setattr(incremental, "write_table", watched)
+    store = Store(spark, str(tmp_path))
+    one, two = dealt(tables, 7, 2)
+    store.load("one", one)
+    assert [(name, n) for name, n in wrote if "load=" not in name] == [("changed", one.transactions.count())]
+    wrote.clear()
+    store.load("two", two)
+    scratch = {name: n for name, n in wrote if "load=" not in name}
+    assert set(scratch) == {"changed", "touched", "targets", "around"}
+    assert 0 < scratch["around"] <= one.transactions.count()
+    assert rows(store.flagged()) == whole and "is_target" not in store.flagged().columns
+
+
+def test_a_load_with_logins_alone_changes_stored_transfers(spark, tables, whole, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.load("all but logins", tables.with_(logins=tables.logins.limit(0)))
+    assert rows(store.flagged()) != whole
+    store.load("logins", Tables(tables.users.limit(0), tables.beneficiaries.limit(0), tables.logins, tables.transactions.limit(0)))
+    assert rows(store.flagged()) == whole

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tracewell.functions.columns import haversine_km, local_phone, percentage
 from tracewell.operators.quantiles import describe, exact_quantiles
 from tracewell.plans import portable, reports
-from tracewell.sources import readers, writers
+from tracewell.sources import fixtures, readers, writers
 from tracewell.sources.fixtures import load_fixtures
 from tracewell.sources.schemas import ID_COLUMNS, SPECS, TRANSACTIONS, USERS
 from tracewell.sources.tables import conform
@@ -204,3 +204,11 @@ def test_portable_repairs(spark):
         "orphans_purged": 2,
         "rows_after": 3,
     }
+
+
+def test_the_list_of_steps_follows_the_rule_and_has_no_lambda(spark):
+    events = spark.range(37 * 43 * 61 * 2).selectExpr("if(id = 5, null, id - 1000) as event_id")
+    by_rule = f"filter(array({', '.join(map(str, fixtures.STEPS))}), step -> {fixtures.STEP_RULE})"
+    assert events.filter(f"not ({fixtures.STEP_LIST} <=> {by_rule})").isEmpty()
+    made = fixtures.load_fixtures(spark, "/root/testdata/sf0.001").transactions
+    assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()

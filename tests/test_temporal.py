@@ -133,3 +133,11 @@ def test_slots_hold_no_more_than_the_limit(spark, limit):
     assert counted.crowds is not None
     slots = counted.tag_instants(df, "id", "ts").groupBy(*counted.slots).count()
     assert slots.agg(F.max("count")).first()[0] <= limit
+
+
+def test_the_timeline_keeps_the_sessions_number_of_partitions(spark):
+    """Small partitions joined into one or two more than there are cores leave most cores idle behind the last of them."""
+    left = frame(spark, make_rows(400, 11))
+    right = left.select(F.col("id").alias("auth"), "k", F.col("ts").alias("at"))
+    found = asof_last(left, right, "k", "ts", "at", ["auth"], "auth", "found", "id", hot([left, right], 10**9))
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -227,6 +227,12 @@ def latest_on(timeline: DataFrame, by: str, ts: str, out: str) -> DataFrame:
     return latest.filter(F.col("_kind") == 1).drop("_kind", "_tie")
 
 
+def _tasks(df: DataFrame) -> int:
+    """The session's number of shuffle partitions. Named outright it is kept: left to itself, Spark joins the partitions of a
+    shuffle into one or two more than there are cores, and the long stage behind it takes twice the time of its longest task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def asof_last(
     left: DataFrame,
     right: DataFrame,
@@ -248,7 +254,8 @@ def asof_last(
     rows is ever formed. With `counts`, hot rows also get their trailing counts of these names and
     windows, which `range_count` then takes over; other rows get NULL."""
     if not hot.any:
-        return latest_on(timeline_of(left, right, by, left_ts, right_ts, columns, tie, out), by, left_ts, out)
+        timeline = timeline_of(left, right, by, left_ts, right_ts, columns, tie, out)
+        return latest_on(timeline.repartition(_tasks(left), by), by, left_ts, out)
     hit = F.struct(*columns)
     counts = counts or {}
     known = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ DIMENSIONS = ("users", "beneficiaries", "device_authentications")
 DAY = "txn_date"
 NEVER = datetime(9999, 1, 1)
 KEYS = {"users": "user_id", "beneficiaries": "beneficiary_id"}
+# Whether a transfer's results are to be replaced, on the transfers that a load is computed from.
+TARGET = "is_target"
 
 
 def _unsent(df: DataFrame) -> DataFrame:
@@ -108,62 +110,74 @@ class Store:
         changed = self._effective(fresh.unionByName(released), every["users"], every["beneficiaries"])
         changed = self._scratch(changed, "changed")
 
-        targets, around = self._reach(changed, stored, added, every)
+        around, days = self._reach(changed, stored if done else None, added, every)
         if around is None:
             self._finish(load)
             return
+        targets = around.filter(TARGET).select(TXN, "user_id")
         people = targets.select("user_id").distinct()
         tables = Tables(_unsent(every["users"]), every["beneficiaries"], every["device_authentications"].join(_unsent(people), "user_id", "left_semi"), around)
-        flagged = plan(tables, self.params).transactions.join(_unsent(targets.select(TXN)), TXN, "left_semi")
-        self._replace(flagged, targets)
+        # The mark goes through the batch with its transfer, so that the results need not meet the targets again.
+        flagged = plan(tables, self.params).transactions.filter(F.col(TARGET) & F.col(TXN).isNotNull()).drop(TARGET)
+        self._replace(flagged, targets.select(TXN), days)
         self._finish(load)
 
-    def _reach(self, changed: DataFrame, stored: DataFrame, added: dict, every: dict) -> tuple[DataFrame, DataFrame | None]:
-        """Transfers whose results can change, and the transfers that these results are computed from."""
+    def _reach(self, changed: DataFrame, stored: DataFrame | None, added: dict, every: dict) -> tuple[DataFrame | None, DataFrame | None]:
+        """The transfers that results are computed from, with a mark on those whose results can change, and the days
+        of these. `stored` is None in a first load. Rows of the load are read where they are and not written again."""
         params = self.params
         logged = added["device_authentications"].select("user_id", F.col("login_timestamp").alias("timestamp"))
+        fresh = changed.drop("_at", "_bucket", "_known").withColumn(TARGET, F.lit(True))
+        if stored is None:
+            if changed.isEmpty() and logged.isEmpty():
+                return None, None
+            return fresh, changed.select(F.to_date("_at").alias(DAY)).distinct()
         touched = changed.select("user_id", "timestamp").unionByName(logged)
         earliest = F.coalesce(F.min("timestamp"), F.lit(NEVER).cast("timestamp_ntz"))  # rows without a time are among themselves
         touched = self._scratch(touched.groupBy("user_id").agg(earliest.alias("_since")), "touched")
         first = touched.agg(F.min("_since")).first()[0]
         if first is None:
-            return changed, None
+            return None, None
 
         def rows_since(since: datetime) -> DataFrame:
             day = F.col(DAY).isNull() | (F.col(DAY) >= F.lit(since.date()))
             return self._effective(stored.filter(day).drop(DAY), every["users"], every["beneficiaries"])
 
-        reached = F.expr("_since is not null and (_at is null or _at >= _since)") | F.col("_spot")
+        def since(column: str) -> Column:
+            return F.col(column).isNotNull() & (F.col("_at").isNull() | (F.col("_at") >= F.col(column)))
 
         # A transfer counts for its user's later ones, and for its beneficiary's in this bucket and the next.
         spots = changed.filter("_known").select("beneficiary_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket")).distinct()
-        marked = rows_since(first).join(_unsent(touched), "user_id", "left").join(spots.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
-        hit = marked.filter(reached).select(changed.columns)
-        targets = hit.join(_unsent(changed.select(TXN)), TXN, "left_anti").unionByName(changed)
-        targets = self._scratch(targets, "targets")
+        spots = spots.withColumn("_spot", F.lit(True))
+        marked = rows_since(first).join(_unsent(touched), "user_id", "left").join(spots, ["beneficiary_id", "_bucket"], "left")
+        target = since("_since") | F.coalesce("_spot", F.lit(False))
+        # Only what tells how far to look back: rows that wait are among them as stored and as changed, which is the same place.
+        place = ["user_id", "beneficiary_id", "timestamp", "_at", "_bucket"]
+        targets = self._scratch(marked.filter(target).select(place), "targets").unionByName(changed.select(place))
 
         # Behind them: the user's transfers as far back as the longest window, the beneficiary's of the bucket before.
-        back = targets.groupBy("user_id").agg((earliest - F.lit(max(params.history_window, params.velocity_window))).alias("_since"))
-        near = targets.select("beneficiary_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1)).alias("_bucket")).distinct()
+        back = targets.groupBy("user_id").agg((earliest - F.lit(max(params.history_window, params.velocity_window))).alias("_back"))
+        near = targets.select("beneficiary_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1)).alias("_bucket"))
+        spots = spots.unionByName(near.distinct().withColumn("_spot", F.lit(False))).groupBy("beneficiary_id", "_bucket").agg(F.max("_spot").alias("_spot"))
         begin = targets.agg(earliest).first()[0]
         lower = begin - max(params.history_window, params.velocity_window, params.mule_window * 2) - timedelta(days=1)
-        marked = rows_since(lower).join(_unsent(back), "user_id", "left").join(near.withColumn("_spot", F.lit(True)), ["beneficiary_id", "_bucket"], "left")
-        hit = marked.filter(reached).select(changed.columns)
-        around = hit.join(_unsent(targets.select(TXN)), TXN, "left_anti").unionByName(targets)
-        return targets, self._scratch(around.drop("_at", "_bucket", "_known"), "around")
-
-    def _replace(self, flagged: DataFrame, targets: DataFrame) -> None:
-        """Put the targets' results in place of the former ones, day by day."""
+        marked = rows_since(lower).join(_unsent(touched), "user_id", "left").join(_unsent(back), "user_id", "left")
+        marked = marked.join(spots, ["beneficiary_id", "_bucket"], "left").withColumn(TARGET, target)
+        hit = marked.filter(F.col(TARGET) | since("_back") | F.col("_spot").isNotNull()).select(fresh.columns)
+        hit = self._scratch(hit.join(_unsent(changed.select(TXN)), TXN, "left_anti"), "around")
+        return hit.unionByName(fresh), targets.select(F.to_date("_at").alias(DAY)).distinct()
+
+    def _replace(self, flagged: DataFrame, targets: DataFrame, days: DataFrame) -> None:
+        """Put the targets' results in place of the former ones, day by day. The days that are read are
+        replaced when all of the new ones are written."""
         dated = flagged.withColumn(DAY, F.to_date("timestamp"))
-        days = targets.select(F.to_date("_at").alias(DAY)).distinct()
         try:
             former = self.flagged()
         except AnalysisException:
             former = None
         if former is not None:
-            stays = former.join(days, former[DAY].eqNullSafe(days[DAY]), "left_semi").join(_unsent(targets.select(TXN)), TXN, "left_anti")
+            stays = former.join(days, former[DAY].eqNullSafe(days[DAY]), "left_semi").join(_unsent(targets), TXN, "left_anti")
             dated = dated.unionByName(stays.select(dated.columns))
-        dated = self._scratch(dated, "days")
         writer = dated.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(DAY).parquet(f"{self.folder}/flagged")
 
